@@ -2,7 +2,7 @@
 
 
 def all_oracles() -> dict[str, str]:
-    from oracles import operators, parcel, shop
+    from oracles import operators, parcel, shop, streams
     from oracles.views import duck_raw, with_needed
     from terrace.plans import raw_parcel, raw_shop
 
@@ -16,4 +16,5 @@ def all_oracles() -> dict[str, str]:
         CAST(day(d) AS VARCHAR) AS day, CAST(month(d) AS VARCHAR) AS month, CAST(quarter(d) AS VARCHAR) AS quarter, CAST(year(d) AS VARCHAR) AS year,
         CAST(CAST(isodow(d) < 6 AS INTEGER) AS VARCHAR) AS is_workday, CAST(NULL AS VARCHAR) AS holiday_id
         FROM range((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)"""
+    out.update({f"stream_{name}": text for name, text in streams.SQL.items()})
     return out

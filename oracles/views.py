@@ -12,7 +12,8 @@ def duck_raw(raw: dict[str, str]) -> dict[str, str]:
     out = {}
     for name, text in raw.items():
         filled = text.format(**PLAIN) if "{" in text else text
-        out[name] = filled.replace("unix_millis(", "epoch_ms(").replace("AS STRING", "AS VARCHAR")
+        filled = re.sub(r"unix_millis\(([^()]*)\)", r"(epoch_us(\1) // 1000)", filled)
+        out[name] = filled.replace("AS STRING", "AS VARCHAR")
     return out
 
 
