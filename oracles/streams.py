@@ -54,12 +54,12 @@ SQL = {
     "cdc_envelope": f"""SELECT o_orderkey || '_' || (epoch_us(o_orderdate) // 1000) AS id, {OP.format('o_orderkey')} AS op, 'shop' AS db,
         CASE WHEN o_orderkey % 5 = 0 THEN 'other' ELSE 'order_info' END AS "table", o_orderstatus AS status, epoch_us(o_orderdate) // 1000 AS ts FROM orders""",
     "cdc_delta": f"""WITH x AS (SELECT l_orderkey, {OP.format('l_partkey')} AS op, CAST(l_quantity AS BIGINT) AS q, l_linenumber * 7 AS b FROM lineitem),
-        y AS (SELECT l_orderkey, CASE WHEN op IN ('r', 'c') THEN q WHEN op = 'u' AND q > b THEN q - b END AS d FROM x)
+        y AS (SELECT l_orderkey, CASE WHEN op = 'r' THEN q WHEN op = 'u' AND q > b THEN q - b END AS d FROM x)
         SELECT l_orderkey, {big('sum(d)')} AS gained, count(*) AS changes FROM y WHERE d IS NOT NULL GROUP BY l_orderkey""",
     "order_detail_stream": f"""SELECT {LINE_ID} AS id, l_orderkey AS order_id, o_custkey AS user_id, {amt('l_extendedprice')} AS amount,
         CASE WHEN l_discount > 0.05 THEN l_suppkey % 25 END AS activity_id, CASE WHEN l_tax > 0.04 THEN l_suppkey END AS coupon_id
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND {NEAR}
-        WHERE (l_discount > 0.05 AND l_tax > 0.04) OR l_shipdate < (SELECT least(max(l_shipdate), (SELECT max(o_orderdate) FROM orders)) FROM lineitem) - INTERVAL 1 DAY""",
+        WHERE (l_discount > 0.05 AND l_tax > 0.04) OR l_shipdate < (SELECT least(max(l_shipdate), (SELECT max(o_orderdate) FROM orders)) FROM lineitem) - INTERVAL 31 DAY""",
     "cancel_stream": f"""SELECT {LINE_ID} AS id, l_orderkey AS order_id, o_custkey AS user_id, l_partkey AS sku_id, {amt('l_extendedprice')} AS amount
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND {NEAR} WHERE o_orderstatus = 'F'""",
     "interval_join": f"""SELECT a.event_id AS order_id, b.event_id AS pay_id, b.user_id AS pay_user, n AS pay_name FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click'
@@ -81,7 +81,7 @@ SQL = {
     "emit_last": f"""SELECT o_orderkey AS id, o_custkey % 25 AS province_id, strftime(o_orderdate, {US}) AS ts, 2 AS version, {dec(AMOUNT2)} AS amount FROM orders
         WHERE {closed('o_orderdate', '1 DAY', '1 DAY', 'SELECT max(o_orderdate) FROM orders')}""",
     "keyword_counts": f"""WITH e AS (SELECT make_timestamp((conv_id * 60 + turn) * 1000000) AS ts, text FROM conversations),
-        w AS (SELECT to_timestamp(epoch(ts) // 600 * 600) AT TIME ZONE 'UTC' AS w, unnest(list_distinct(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'))) AS keyword FROM e)
+        w AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS w, unnest(list_distinct(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'))) AS keyword FROM e)
         SELECT {bounds('w', '10 MINUTE')}, keyword, count(*) AS keyword_count FROM w WHERE keyword <> '' AND {closed('w', '10 MINUTE', '3 SECOND', 'SELECT max(ts) FROM e')} GROUP BY w, keyword""",
     "page_view_window": page_views(True),
     "page_view_totals": page_views(False),

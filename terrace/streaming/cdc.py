@@ -60,8 +60,8 @@ def cdc_select(df: DataFrame, table: str, ops: Sequence[str], columns: Mapping[s
     return df.where(cond).select(*out, F.timestamp_millis("ts_ms").alias("event_time"))
 
 
-def cdc_delta(df: DataFrame, column: str, name: str = "delta") -> DataFrame:
-    """Quantity gained by a change: all of it for a snapshot or an insert, the increase for an update, else no row."""
+def cdc_delta(df: DataFrame, column: str, name: str = "delta", whole: Sequence[str] = ("r",)) -> DataFrame:
+    """Quantity gained by a change: all of it for a snapshot row, the increase for an update, else no row."""
     before, after = F.col("before")[column].try_cast("bigint"), F.col("after")[column].try_cast("bigint")
-    gained = F.when(F.col("op").isin("r", "c"), after).when((F.col("op") == "u") & (after > before), after - before)
+    gained = F.when(F.col("op").isin(*whole), after).when((F.col("op") == "u") & (after > before), after - before)
     return df.withColumn(name, gained).where(F.col(name).isNotNull())

@@ -54,17 +54,17 @@ def cancel_stream(detail: DataFrame, orders: DataFrame, status: str, cancelled:
     return interval_join(detail, orders.where(F.col(status).isin(*cancelled)), {"order_id": "header_id"}, "detail_time", "header_time", lo, hi)
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: tuple[str, str], columns: Mapping[str, str], default: str | None = None) -> DataFrame:
-    """Add dimension columns; a miss gives null or `default`, never an error."""
+def lookup(df: DataFrame, dim: DataFrame, on: tuple[str, str], columns: Mapping[str, str], default: str | None = None, how: str = "left") -> DataFrame:
+    """Add dimension columns. A miss gives null or `default`, or drops the row when how is "inner"."""
     side = dim.select(F.col(on[1]).cast("string").alias("_key"), *[F.col(c).alias(n) for c, n in columns.items()])
-    out = df.join(side, F.col(on[0]).cast("string") == F.col("_key"), "left").drop("_key")
+    out = df.join(side, F.col(on[0]).cast("string") == F.col("_key"), how).drop("_key")
     return out.withColumns({n: F.coalesce(F.col(n), F.lit(default)) for n in columns.values()}) if default is not None else out
 
 
-def enrich_chain(df: DataFrame, steps: Sequence[tuple[DataFrame, tuple[str, str], Mapping[str, str]]], default: str | None = None) -> DataFrame:
+def enrich_chain(df: DataFrame, steps: Sequence[tuple[DataFrame, tuple[str, str], Mapping[str, str]]], default: str | None = None, how: str = "left") -> DataFrame:
     """Lookups one after the other; a step may use a column that an earlier one brought in."""
     for dim, on, columns in steps:
-        df = lookup(df, dim, on, columns, default)
+        df = lookup(df, dim, on, columns, default, how)
     return df
 
 

@@ -42,6 +42,8 @@ class _Keyed(StatefulProcessor):
     Rows bring `_us` (event time in microseconds), `_day` (its day) and `_order` (a struct to sort by), computed by Spark.
     """
 
+    added: tuple[str, ...] = ()
+
     def __init__(self, state_schema: T.StructType, columns: Sequence[str], ttl_ms: int | None):
         self.state_schema, self.columns, self.ttl_ms = state_schema, list(columns), ttl_ms
 
@@ -53,14 +55,15 @@ class _Keyed(StatefulProcessor):
         raise NotImplementedError
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        known = tuple(self.state.get()) if self.state.exists() else None
-        latest = None
+        stored = self.state.get()
+        known = None if stored is None else tuple(stored)
+        output, latest = Row(*self.columns, *self.added), None
         # The rows of one key in one micro-batch, which the trigger's limits bound.
         for row in sorted(rows, key=lambda r: tuple(r["_order"])):
             known, out = self.step(known, row)
             latest = row["_us"] if latest is None else max(latest, row["_us"])
             for values in out:
-                yield Row(*values)
+                yield output(*values)
         self.state.update(known)
         if self.ttl_ms is not None:
             for timer in list(self.handle.listTimers()):
@@ -102,6 +105,8 @@ class _Newest(_Keyed):
 
 
 class _Login(_Keyed):
+    added = ("uu", "back")
+
     def __init__(self, columns, ttl_ms, back_days):
         super().__init__(T.StructType([T.StructField("day_number", T.IntegerType())]), columns, ttl_ms)
         self.back_days = back_days

@@ -32,13 +32,13 @@ def amount_window(df: DataFrame, ts: str, keys: Sequence[str], measures: Mapping
     return _windowed(rows, ts, size, keys, [sum_money(c, n) for n, c in measures.items()])
 
 
-def distinct_window(df: DataFrame, ts: str, keys: Sequence[str], ident: str, amount: str, size: str, watermark: str) -> DataFrame:
+def distinct_window(df: DataFrame, ts: str, keys: Sequence[str], ident: str, amount: str, size: str, watermark: str | None) -> DataFrame:
     """Distinct records and their amount per key and window.
 
     Two aggregations: first per record, then per window. No set of ids is held for a key, however many there are.
     """
-    per_id = (df.withWatermark(ts, watermark).groupBy(F.window(ts, size).alias("window"), *keys, ident)
-              .agg(sum_money(amount, "_amount")))
+    rows = df.withWatermark(ts, watermark) if watermark else df
+    per_id = rows.groupBy(F.window(ts, size).alias("window"), *keys, ident).agg(sum_money(amount, "_amount"))
     out = per_id.groupBy(F.window(F.window_time("window"), size).alias("w"), *keys).agg(
         F.count(F.lit(1)).alias("order_count"), F.sum("_amount").cast("decimal(18,2)").alias("order_amount"))
     return window_columns(out, "w")
