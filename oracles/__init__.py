@@ -2,7 +2,7 @@
 
 
 def all_oracles() -> dict[str, str]:
-    from oracles import operators, parcel, shop, streams
+    from oracles import live, operators, parcel, shop, streams
     from oracles.views import duck_raw, with_needed
     from terrace.plans import raw_parcel, raw_shop
 
@@ -17,4 +17,5 @@ def all_oracles() -> dict[str, str]:
         CAST(CAST(isodow(d) < 6 AS INTEGER) AS VARCHAR) AS is_workday, CAST(NULL AS VARCHAR) AS holiday_id
         FROM range((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)"""
     out.update({f"stream_{name}": text for name, text in streams.SQL.items()})
+    out.update({f"live_{name}": text for name, text in live.SQL.items()})
     return out

@@ -78,19 +78,19 @@ def order_detail_fact(cdc: DataFrame, lo: str = "-5 seconds", hi: str = "5 secon
     rows = st.order_detail_stream(
         detail_rows(cdc, delay), order_rows(cdc, ["r", "c"], None, delay), activity.withColumnRenamed("event_time", "act_time").withWatermark("act_time", delay),
         coupon.withColumnRenamed("event_time", "cou_time").withWatermark("cou_time", delay), lo, hi)
-    return rows.drop("header_id", "act_detail_id", "cou_detail_id", "act_time", "cou_time", "header_time")
+    return rows.drop("header_id", "act_detail_id", "cou_detail_id")
 
 
 def order_cancel_fact(detail: DataFrame, cdc: DataFrame, lo: str = "-1 day", hi: str = "1 day", delay: str = DELAY) -> DataFrame:
     cancelled = order_rows(cdc, ["u"], CANCELLED, delay).select("header_id", F.col("header_time"))
-    return st.interval_join(detail, cancelled, {"order_id": "header_id"}, "detail_time", "header_time", lo, hi).drop("header_id")
+    return st.interval_join(detail, cancelled, {"order_id": "header_id"}, "detail_time", "header_time", lo, hi).drop("header_id", "header_time")
 
 
 def pay_success_fact(detail: DataFrame, cdc: DataFrame, dictionary: DataFrame, lo: str = "-30 minutes", hi: str = "5 seconds", delay: str = DELAY) -> DataFrame:
     paid = st.cdc_select(cdc, "payment_info", ["r", "c", "u"], {"order_id": "pay_order_id string", "user_id": "user_id string", "payment_type": "payment_type_code string",
                                                                "callback_time": "callback_time string"}, {"payment_status": [PAID]})
     paid = paid.withColumnRenamed("event_time", "pay_time").withWatermark("pay_time", delay)
-    rows = st.interval_join(detail, paid, {"order_id": "pay_order_id"}, "detail_time", "pay_time", lo, hi).drop("pay_order_id")
+    rows = st.interval_join(detail, paid, {"order_id": "pay_order_id"}, "detail_time", "pay_time", lo, hi).drop("pay_order_id", "detail_time")
     rows = st.lookup(rows, dictionary, ("payment_type_code", "dic_code"), {"dic_name": "payment_type_name"}, how="inner")
     return rows.withColumnsRenamed({"id": "order_detail_id", "split_total_amount": "split_payment_amount"})
 
@@ -102,7 +102,7 @@ def refund_fact(cdc: DataFrame, dictionary: DataFrame, lo: str = "-1 day", hi: s
     orders = order_rows(cdc, ["u"], REFUNDING, delay)
     names = [(dictionary, ("refund_type_code", "dic_code"), {"dic_name": "refund_type_name"}), (dictionary, ("refund_reason_type_code", "dic_code"), {"dic_name": "refund_reason_type_name"})]
     rows = st.enrich_chain(st.interval_join(refund, orders, {"order_id": "header_id"}, "refund_time", "header_time", lo, hi), names, how="inner")
-    return rows.withColumn("date_id", F.date_format("refund_time", "yyyy-MM-dd")).drop("header_id")
+    return rows.withColumn("date_id", F.date_format("refund_time", "yyyy-MM-dd")).drop("header_id", "header_time")
 
 
 def refund_paid_fact(cdc: DataFrame, dictionary: DataFrame, lo: str = "-1 day", hi: str = "1 day", delay: str = DELAY) -> DataFrame:

@@ -43,10 +43,10 @@ def order_detail_stream(detail: DataFrame, header: DataFrame, activity: DataFram
     Columns: detail(id, order_id, detail_time, ..), header(header_id, header_time, ..), activity(act_detail_id, act_time, ..),
     coupon(cou_detail_id, cou_time, ..). Unmatched details leave the outer joins once the watermark passes their range.
     """
-    rows = interval_join(detail, header, {"order_id": "header_id"}, "detail_time", "header_time", lo, hi)
-    rows = interval_join(rows, activity, {"id": "act_detail_id"}, "detail_time", "act_time", "-5 seconds", "5 seconds", "leftOuter")
-    rows = interval_join(rows, coupon, {"id": "cou_detail_id"}, "detail_time", "cou_time", "-5 seconds", "5 seconds", "leftOuter")
-    return rows
+    # Only one event time may go on after each join: the detail's.
+    rows = interval_join(detail, header, {"order_id": "header_id"}, "detail_time", "header_time", lo, hi).drop("header_time")
+    rows = interval_join(rows, activity, {"id": "act_detail_id"}, "detail_time", "act_time", "-5 seconds", "5 seconds", "leftOuter").drop("act_time")
+    return interval_join(rows, coupon, {"id": "cou_detail_id"}, "detail_time", "cou_time", "-5 seconds", "5 seconds", "leftOuter").drop("cou_time")
 
 
 def cancel_stream(detail: DataFrame, orders: DataFrame, status: str, cancelled: Sequence[str], lo: str, hi: str) -> DataFrame:
@@ -76,8 +76,8 @@ def refund_stream(refund: DataFrame, orders: DataFrame, lo: str, hi: str, lookup
 def refund_paid_stream(pay: DataFrame, refund: DataFrame, orders: DataFrame, lo: str, hi: str,
                        lookups: Sequence[tuple[DataFrame, tuple[str, str], Mapping[str, str]]]) -> DataFrame:
     """Refund payments with the refund (two keys), the order and the payment dictionary."""
-    rows = interval_join(pay, refund, {"order_id": "refund_order_id", "sku_id": "refund_sku_id"}, "pay_time", "refund_time", lo, hi)
-    rows = interval_join(rows, orders, {"order_id": "header_id"}, "pay_time", "header_time", lo, hi)
+    rows = interval_join(pay, refund, {"order_id": "refund_order_id", "sku_id": "refund_sku_id"}, "pay_time", "refund_time", lo, hi).drop("refund_time")
+    rows = interval_join(rows, orders, {"order_id": "header_id"}, "pay_time", "header_time", lo, hi).drop("header_time")
     return enrich_chain(rows, lookups)
 
 
