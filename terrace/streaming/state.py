@@ -15,13 +15,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
-def first_of_day(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 day") -> DataFrame:
+def first_of_day(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 day", spread: int = 1) -> DataFrame:
     """The first row seen per key and day, emitted at once.
 
-    `delay` bounds both lateness and how long a key is remembered, so it must cover the day.
+    `delay` bounds both lateness and how long a key is remembered, so it must cover the day. With `spread` above 1 a first
+    pass keeps one row per key, day and slice, so that a key with most of the rows is worked on by `spread` tasks; which of
+    a batch's rows is then called the first is left open.
     """
-    return (df.withWatermark(ts, delay).withColumn("visit_day", F.date_format(ts, "yyyy-MM-dd"))
-            .dropDuplicatesWithinWatermark([*keys, "visit_day"]).drop("visit_day"))
+    rows = df.withWatermark(ts, delay).withColumn("visit_day", F.date_format(ts, "yyyy-MM-dd"))
+    if spread > 1:
+        rows = rows.withColumn("_slice", F.pmod(F.xxhash64(ts), F.lit(spread)))
+        rows = rows.dropDuplicatesWithinWatermark([*keys, "visit_day", "_slice"]).drop("_slice")
+    return rows.dropDuplicatesWithinWatermark([*keys, "visit_day"]).drop("visit_day")
 
 
 def drop_repeats(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
