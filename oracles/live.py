@@ -9,6 +9,7 @@ SHIFT = f"INTERVAL {EVENT_SHIFT_MS // 86400000} DAY"
 PAGE = f"""pg AS (SELECT event_id, user_id, CASE event_type WHEN 'view' THEN 'home' WHEN 'click' THEN 'good_detail' WHEN 'signup' THEN 'register' ELSE 'cart' END AS page_id,
   CASE WHEN event_id % 17 <> 0 THEN user_id END AS uid, event_id % 3 = 0 AS no_last, 1000 + event_id % 9000 AS during, date_trunc('millisecond', ts) - {SHIFT} AS ts FROM events WHERE event_type <> 'error')"""
 NEWEST_PAGE = "SELECT max(ts) FROM pg"
+FLAGGED = " WHERE page_id IN ('home', 'good_detail')"
 STATUS = "CASE o_orderstatus WHEN 'F' THEN '1003' WHEN 'O' THEN '1005' ELSE '1006' END"
 CART = f"""cart AS (SELECT {LINE_ID} AS id, CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS sku_id, l_shipdate,
   CAST(CASE WHEN l_partkey % 2 = 0 THEN l_quantity WHEN l_quantity > l_linenumber * 7 THEN l_quantity - l_linenumber * 7 END AS INTEGER) AS sku_num FROM lineitem)"""
@@ -65,7 +66,7 @@ SQL = {
                    ('trademark_name', 'p_brand', True), ('category3_name', "'leaf-' || p_size", True), ('category2_id', 'p_size % 10', True), ('category2_name', "'branch-' || p_size % 10", True),
                    ('category1_id', 'p_size % 10 % 3', True), ('category1_name', "'root-' || p_size % 10 % 3", True))} FROM g JOIN part ON p_partkey = k""",
     "home_detail_visitors": f"""WITH {PAGE}, f AS (SELECT page_id, min(ts) AS ts FROM pg WHERE page_id IN ('home', 'good_detail') GROUP BY page_id, user_id, CAST(ts AS DATE)), q AS (SELECT page_id, {hour()} AS w FROM f),
-        g AS (SELECT {bounds('w', '1 HOUR')}, count(*) FILTER (page_id = 'home') AS h, count(*) FILTER (page_id = 'good_detail') AS d FROM q WHERE {closed('w', '1 HOUR', '1 DAY', NEWEST_PAGE)} GROUP BY w)
+        g AS (SELECT {bounds('w', '1 HOUR')}, count(*) FILTER (page_id = 'home') AS h, count(*) FILTER (page_id = 'good_detail') AS d FROM q WHERE {closed('w', '1 HOUR', '1 DAY', NEWEST_PAGE + FLAGGED)} GROUP BY w)
         SELECT {js(*BOUNDS, ('home_uv_ct', 'h', False), ('good_detail_uv_ct', 'd', False))} FROM g""",
     "page_view_metrics": f"""WITH {PAGE}, v AS (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) = 1 AS first, {hour()} AS w FROM pg),
         g AS (SELECT {bounds('w', '1 HOUR')}, 'v' || user_id % 3 AS vc, 'c' || user_id % 5 AS ch, user_id % 25 AS ar, event_id % 2 AS is_new, count(*) FILTER (first) AS u, count(*) FILTER (no_last) AS s, count(*) AS p, {big('sum(during)')} AS d

@@ -12,10 +12,13 @@ from terrace.functions.time import in_last_days
 
 
 def fan_out_recent_days(df: DataFrame, date_col: str, as_of: date, days: Sequence[int] = (1, 7, 30)) -> DataFrame:
-    """One copy of a row per n whose last n days contain it; rows outside every n are cut at the scan."""
-    cutoff = F.create_map(*[F.lit(x) for n in days for x in (n, (as_of - timedelta(days=n)).isoformat())])
-    fits = F.filter(F.array(*[F.lit(n) for n in days]), lambda n: F.to_date(F.col(date_col)) > F.to_date(cutoff[n]))
-    return df.where(in_last_days(F.col(date_col), as_of, max(days))).withColumn("recent_days", F.explode(fits))
+    """One copy of a row per n whose last n days contain it; rows outside every n are cut at the scan.
+
+    Plain comparisons and an explode keep this inside generated code; higher-order functions would leave it.
+    """
+    fits = [F.when(F.col("_day") > F.lit(as_of - timedelta(days=n)), F.lit(n)) for n in days]
+    rows = df.where(in_last_days(F.col(date_col), as_of, max(days))).withColumn("_day", F.to_date(F.col(date_col)))
+    return rows.withColumn("recent_days", F.explode(F.array(*fits))).where("recent_days is not null").drop("_day")
 
 
 def recent_days_rollup(df: DataFrame, date_col: str, as_of: date, days: Sequence[int], keys: Sequence[str],

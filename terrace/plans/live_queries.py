@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from terrace.functions import money
 from terrace.plans import live
 from terrace.plans.raw_shop import RAW
-from terrace.plans.stream_queries import LINE_ID, Streams, _texts
+from terrace.plans.stream_queries import Streams, _texts, line_id
 from terrace.plans.warehouse import derived_reader
 from terrace.streaming.runs import run_to_end
 
@@ -32,43 +32,45 @@ def _changes(df: DataFrame, table: str, op: str | Column, ts: str, after: Mappin
 
 
 C = F.col
-STATUS = F.when(C("o_orderstatus") == "F", "1003").when(C("o_orderstatus") == "O", "1005").otherwise("1006")
+
+def _status():
+    return F.when(C("o_orderstatus") == "F", "1003").when(C("o_orderstatus") == "O", "1005").otherwise("1006")
 
 
 def order_changes(t):
     row = {"id": C("o_orderkey"), "user_id": C("o_custkey"), "province_id": C("o_custkey") % 25}
     new = _changes(t.orders, "order_info", "c", "o_orderdate", {**row, "order_status": F.lit("1001")})
-    return new.unionByName(_changes(t.orders, "order_info", "u", "o_orderdate", {**row, "order_status": STATUS}, {"order_status": F.lit("1001")}))
+    return new.unionByName(_changes(t.orders, "order_info", "u", "o_orderdate", {**row, "order_status": _status()}, {"order_status": F.lit("1001")}))
 
 
 def detail_changes(t):
     split = money(money("l_extendedprice") * money("l_discount"))
     return _changes(t.lineitem, "order_detail", "c", "l_shipdate", {
-        "id": LINE_ID, "order_id": C("l_orderkey"), "sku_id": C("l_partkey"), "sku_name": F.concat(F.lit("sku-"), C("l_partkey").cast("string")), "sku_num": C("l_quantity").cast("bigint"),
+        "id": line_id(), "order_id": C("l_orderkey"), "sku_id": C("l_partkey"), "sku_name": F.concat(F.lit("sku-"), C("l_partkey").cast("string")), "sku_num": C("l_quantity").cast("bigint"),
         "order_price": money("l_extendedprice"), "split_activity_amount": split, "split_coupon_amount": F.lit(0), "split_total_amount": money("l_extendedprice")})
 
 
 def side_changes(t):
     act = _changes(t.lineitem.where("l_discount > 0.05"), "order_detail_activity", "c", "l_shipdate",
-                   {"order_detail_id": LINE_ID, "activity_id": C("l_suppkey") % 25, "activity_rule_id": C("l_suppkey")})
-    return act.unionByName(_changes(t.lineitem.where("l_tax > 0.04"), "order_detail_coupon", "c", "l_shipdate", {"order_detail_id": LINE_ID, "coupon_id": C("l_suppkey")}))
+                   {"order_detail_id": line_id(), "activity_id": C("l_suppkey") % 25, "activity_rule_id": C("l_suppkey")})
+    return act.unionByName(_changes(t.lineitem.where("l_tax > 0.04"), "order_detail_coupon", "c", "l_shipdate", {"order_detail_id": line_id(), "coupon_id": C("l_suppkey")}))
 
 
 def refund_changes(t):
     lines = t.lineitem.where("l_returnflag = 'R'")
-    row = {"id": LINE_ID, "order_id": C("l_orderkey"), "sku_id": C("l_partkey"), "refund_type": 1101 + C("l_partkey") % 4, "refund_reason_type": 1201 + C("l_suppkey") % 4,
+    row = {"id": line_id(), "order_id": C("l_orderkey"), "sku_id": C("l_partkey"), "refund_type": 1101 + C("l_partkey") % 4, "refund_reason_type": 1201 + C("l_suppkey") % 4,
            "refund_num": C("l_quantity").cast("bigint"), "refund_amount": money("l_extendedprice")}
     asked = _changes(lines, "order_refund_info", "c", "l_shipdate", {**row, "refund_status": F.lit("0701")})
     done = _changes(lines.where("l_linestatus = 'F'"), "order_refund_info", "u", "l_shipdate", {**row, "refund_status": F.lit("0705")}, {"refund_status": F.lit("0701")})
     paid = _changes(lines.where("l_partkey % 2 = 0"), "refund_payment", "u", "l_shipdate",
-                    {"id": LINE_ID, "order_id": C("l_orderkey"), "sku_id": C("l_partkey"), "payment_type": 1101 + C("l_partkey") % 4, "total_amount": money("l_extendedprice"),
+                    {"id": line_id(), "order_id": C("l_orderkey"), "sku_id": C("l_partkey"), "payment_type": 1101 + C("l_partkey") % 4, "total_amount": money("l_extendedprice"),
                      "refund_status": F.lit("1602")}, {"refund_status": F.lit("1601")})
     return asked.unionByName(done).unionByName(paid)
 
 
 def cart_changes(t):
     op = F.when(C("l_partkey") % 2 == 0, "r").otherwise("u")
-    return _changes(t.lineitem, "cart_info", op, "l_shipdate", {"id": LINE_ID, "user_id": C("l_suppkey"), "sku_id": C("l_partkey"), "sku_num": C("l_quantity").cast("bigint")},
+    return _changes(t.lineitem, "cart_info", op, "l_shipdate", {"id": line_id(), "user_id": C("l_suppkey"), "sku_id": C("l_partkey"), "sku_num": C("l_quantity").cast("bigint")},
                     {"sku_num": C("l_linenumber") * 7})
 
 

@@ -118,11 +118,12 @@ def cdc_delta(t):
     return out.groupBy("l_orderkey").agg(F.sum("delta").alias("gained"), F.count(F.lit(1)).alias("changes"))
 
 
-LINE_ID = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int"))
+def line_id():
+    return F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int"))
 
 
 def _details(t):
-    return t.lineitem.select(LINE_ID.alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"), money("l_extendedprice").alias("amount"),
+    return t.lineitem.select(line_id().alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"), money("l_extendedprice").alias("amount"),
                              F.col("l_shipdate").alias("detail_time")).withWatermark("detail_time", "1 day")
 
 
@@ -133,8 +134,8 @@ def _headers(t, *extra):
 
 @query
 def order_detail_stream(t):
-    activity = t.lineitem.where("l_discount > 0.05").select(LINE_ID.alias("act_detail_id"), (F.col("l_suppkey") % 25).alias("activity_id"), F.col("l_shipdate").alias("act_time"))
-    coupon = t.lineitem.where("l_tax > 0.04").select(LINE_ID.alias("cou_detail_id"), F.col("l_suppkey").alias("coupon_id"), F.col("l_shipdate").alias("cou_time"))
+    activity = t.lineitem.where("l_discount > 0.05").select(line_id().alias("act_detail_id"), (F.col("l_suppkey") % 25).alias("activity_id"), F.col("l_shipdate").alias("act_time"))
+    coupon = t.lineitem.where("l_tax > 0.04").select(line_id().alias("cou_detail_id"), F.col("l_suppkey").alias("coupon_id"), F.col("l_shipdate").alias("cou_time"))
     rows = st.order_detail_stream(_details(t), _headers(t), activity.withWatermark("act_time", "1 day"), coupon.withWatermark("cou_time", "1 day"), "-30 days", "30 days")
     return run_to_end(rows.select("id", "order_id", "user_id", "amount", "activity_id", "coupon_id"))
 
@@ -172,7 +173,7 @@ def interval_merge(t):
 
 @query
 def refund_stream(t):
-    refunds = (t.lineitem.where("l_returnflag = 'R'").select(LINE_ID.alias("id"), F.col("l_orderkey").alias("order_id"), (F.col("l_partkey") % 5).alias("refund_type"),
+    refunds = (t.lineitem.where("l_returnflag = 'R'").select(line_id().alias("id"), F.col("l_orderkey").alias("order_id"), (F.col("l_partkey") % 5).alias("refund_type"),
                                                             (F.col("l_suppkey") % 5).alias("reason"), F.col("l_shipdate").alias("refund_time")).withWatermark("refund_time", "1 day"))
     dic = _codes(t.spark, PAY_NAMES)
     rows = st.refund_stream(refunds, _headers(t).where("order_status = 'F'"), "-30 days", "30 days",

@@ -25,13 +25,9 @@ SCHEMAS = {
 }
 
 
-def _schema(spark: SparkSession, name: str) -> T.StructType:
-    return T._parse_datatype_string(SCHEMAS[name])
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Batch scan of one input table with its declared schema."""
-    return spark.read.schema(_schema(spark, name)).parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stream(spark: SparkSession, path: str, schema: str | T.StructType, files_per_trigger: int | None = None,
@@ -50,7 +46,7 @@ def stream(spark: SparkSession, path: str, schema: str | T.StructType, files_per
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table as a stream. The glob matches a single file as well as a folder of parts."""
-    return stream(spark, f"{sf_dir}/{name}.parquet*", _schema(spark, name))
+    return stream(spark, f"{sf_dir}/{name}.parquet*", SCHEMAS[name])
 
 
 def read_partition(spark: SparkSession, path: str, schema: str, dt: str, fmt: str = "orc", part: str = "dt") -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.session import work_dir
 
@@ -37,15 +39,33 @@ def append_missing(spark: SparkSession, new: DataFrame, path: str, fmt: str = "p
     from terrace.operators.combine import missing_rows
 
     new = new.distinct()
-    if _exists(spark, path):
-        new = missing_rows(new, spark.read.schema(new.schema).format(fmt).load(path))
+    history = stored(spark, path, new.schema, fmt)
+    if history is not None:
+        new = missing_rows(new, history)
     new.write.mode("append").format(fmt).save(path)
     return spark.read.schema(new.schema).format(fmt).load(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+def stored(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame | None:
+    """The table at `path`, or None when nothing has been written there yet."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def insert_partitions(df: DataFrame, table: str) -> None:
+    """Overwrite the partitions of a catalog table that `df` contains; columns are matched by name."""
+    spark = df.sparkSession
+    (df.select(*spark.table(table).columns).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
+
+
+def register_table(spark: SparkSession, table: str, path: str, schema: str, part: str = "dt", fmt: str = "parquet") -> None:
+    """Make partition folders at `path` known to the catalog, and find the ones added since."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}, {part} STRING) USING {fmt} PARTITIONED BY ({part}) LOCATION '{path}'")
+    spark.catalog.recoverPartitions(table)
 
 
 def write_text_table(df: DataFrame, path: str) -> None:

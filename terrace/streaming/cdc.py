@@ -13,7 +13,7 @@ CDC_SCHEMA = "op string, before map<string,string>, after map<string,string>, so
 
 def parse_or_dirty(df: DataFrame, column: str, schema: str, into: str = "doc") -> tuple[DataFrame, DataFrame]:
     """(rows with a parsed document, rows whose text is not such a document)."""
-    full = T._parse_datatype_string(f"{schema}, _corrupt_record string")
+    full = T.StructType.fromDDL(f"{schema}, _corrupt_record string")
     parsed = df.withColumn(into, F.from_json(column, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     bad = F.col(into).isNull() | F.col(f"{into}._corrupt_record").isNotNull()
     return parsed.where(~bad).withColumn(into, F.col(into).dropFields("_corrupt_record")), parsed.where(bad).select(*df.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from terrace.functions.text import snake_case
 from terrace.functions.time import epoch_normalise
-from terrace.sources.writers import _exists
+from terrace.sources.writers import stored
 
 
 def upsert_log(path: str, keys: Sequence[str] | None = None, order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
@@ -35,9 +35,9 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] | None, order: Sequence[str] = ()) -> DataFrame:
     """Current rows of an upsert_log table; without keys, all rows ever written."""
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    if not _exists(spark, path):
+    rows = stored(spark, path, full)
+    if rows is None:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    rows = spark.read.schema(full).parquet(path)
     if keys:
         rows = newest_per_key(rows, keys, [*order, "batch_id"])
     return rows.select(*schema.fieldNames())
@@ -99,6 +99,15 @@ def route_writer(root: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str, key: str | None = None):
+    """Start a JSON sink into a topic (the connector must be on the class path). Delivery is at least once; rows with a
+    key land in the key's partition, so a compacted topic keeps the newest row per key."""
+    value = F.to_json(F.struct(*df.columns)).alias("value")
+    rows = df.select(F.col(key).cast("string").alias("key"), value) if key else df.select(value)
+    return (rows.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).option("kafka.acks", "all")
+            .option("kafka.enable.idempotence", "true").option("checkpointLocation", checkpoint).start())
+
+
 def to_snake_json(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Rows as JSON documents with snake_case names."""
     columns: list[Column] = [F.col(c).alias(snake_case(c)) for c in df.columns if c not in exclude]

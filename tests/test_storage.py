@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from terrace.operators import union_history
 from terrace.plans import raw_shop, shop
 from terrace.plans.warehouse import Warehouse, derived_reader
-from terrace.sources import append_missing, observed, read_partition, read_text_table, replace_partitions, write_partitions, write_text_table
+from terrace.sources import (append_missing, insert_partitions, observed, read_partition, read_text_table, register_table, replace_partitions,
+                             write_partitions, write_text_table)
 
 
 def values(df):
@@ -66,3 +67,15 @@ def test_published_report_is_text(spark, sf_dir, tmp_path):
 def test_equal_forms_of_the_to_date_profile(spark, sf_dir):
     w = Warehouse(derived_reader(spark, sf_dir, raw_shop.RAW), shop.JOBS, date(1998, 6, 30))
     assert values(w["dws_trade_user_order_td"]) == values(w["dws_trade_user_order_td_outer"]) == values(w["dws_trade_user_order_td_rebuild"])
+
+
+def test_catalog_table_over_partition_folders(spark, tmp_path):
+    path, table = str(tmp_path / "t"), f"registered_{tmp_path.name.replace('-', '_')}"
+    write_partitions(spark.createDataFrame([(1, "d1"), (2, "d2")], "id int, dt string"), path)
+    register_table(spark, table, path, "id int")
+    write_partitions(spark.createDataFrame([(3, "d3")], "id int, dt string"), path)
+    register_table(spark, table, path, "id int")
+    assert spark.table(table).count() == 3
+    insert_partitions(spark.createDataFrame([("d2", 20), ("d4", 40)], "dt string, id int"), table)
+    assert values(spark.table(table)) == values(spark.createDataFrame([(1, "d1"), (20, "d2"), (3, "d3"), (40, "d4")], "id int, dt string"))
+    spark.sql(f"DROP TABLE {table}")

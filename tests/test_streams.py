@@ -12,8 +12,8 @@ from terrace.streaming.windows import PAGE_VIEW_SUMS
 def events(spark, sf_dir, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("events") / "in")
     table = load(spark, sf_dir, "events")
-    ranked = table.withColumn("part", (F.col("event_id") * 8 / (table.agg(F.max("event_id")).first()[0] + 1)).cast("int"))
-    for i in range(8):
+    ranked = table.withColumn("part", (F.col("event_id") * 4 / (table.agg(F.max("event_id")).first()[0] + 1)).cast("int"))
+    for i in range(4):
         ranked.where(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(path), table
 
