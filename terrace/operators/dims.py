@@ -74,20 +74,22 @@ def scd2_merge(history: DataFrame, changes: DataFrame, key: str, tracked: Sequen
 
 
 def hierarchy_resolve(node: DataFrame, tree: DataFrame, level: str, region: str, node_id: str = "id",
-                      parent: str = "parent_id", name: str = "name") -> DataFrame:
+                      parent: str = "parent_id", name: str = "name", province: bool = True) -> DataFrame:
     """City and province of an organisation whose region is a city (level 1) or a district (deeper levels).
 
-    Adds city_id, city_name, province_id, province_name. The tree is the region table, joined once per step up.
+    Adds city_id, city_name and, unless `province` is False, province_id and province_name. The tree is the region
+    table, joined once per step up.
     """
-    up = {"_n1": region, "_n2": "_n1_parent", "_n3": "_n2_parent"}
+    up = {"_n1": region, "_n2": "_n1_parent", **({"_n3": "_n2_parent"} if province else {})}
     out = node
     for alias, key in up.items():
         side = tree.select(F.col(node_id).alias(f"{alias}_id"), F.col(name).alias(f"{alias}_name"),
                            F.col(parent).alias(f"{alias}_parent"))
         out = out.join(side, F.col(key) == F.col(f"{alias}_id"), "left")
     at_city = F.col(level) == 1
-    picked = {"city_id": ("_n1_id", "_n2_id"), "city_name": ("_n1_name", "_n2_name"),
-              "province_id": ("_n2_id", "_n3_id"), "province_name": ("_n2_name", "_n3_name")}
+    picked = {"city_id": ("_n1_id", "_n2_id"), "city_name": ("_n1_name", "_n2_name")}
+    if province:
+        picked |= {"province_id": ("_n2_id", "_n3_id"), "province_name": ("_n2_name", "_n3_name")}
     return out.select(*node.columns, *[F.when(at_city, F.col(a)).otherwise(F.col(b)).alias(n) for n, (a, b) in picked.items()])
 
 

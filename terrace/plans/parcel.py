@@ -301,7 +301,7 @@ def dws_trans_shift_trans_finish_nd(w):
         F.count("id").alias("trans_finish_count"), _total("actual_distance", "trans_finish_distance"), F.sum("finish_dur_sec").alias("trans_finish_dur_sec"),
         F.sum("order_num").alias("trans_finish_order_count"))
     named = op.star_flatten(agg, [(w["dim_organ_full"], "org_id", "id", {"org_level": "org_level", "region_id": "region_id"})])
-    named = op.hierarchy_resolve(named, w["dim_region_full"], "org_level", "region_id").drop(*PROVINCE, "org_level", "region_id")
+    named = op.hierarchy_resolve(named, w["dim_region_full"], "org_level", "region_id", province=False).drop("org_level", "region_id")
     named = op.star_flatten(named, [(w["dim_shift_full"], "shift_id", "id", {"line_name": "line_name"}),
                                     (w["dim_truck_full"], "truck_id", "id", {c: c for c in ("truck_model_type", "truck_model_type_name")})])
     return _stamp(named.drop("truck_id"), w)
@@ -393,7 +393,7 @@ def ads_order_cargo_type_stats(w):
 
 @job
 def ads_city_stats(w):
-    organs = op.hierarchy_resolve(w["dim_organ_full"].select(F.col("id").alias("_org"), "org_level", "region_id"), w["dim_region_full"], "org_level", "region_id")
+    organs = op.hierarchy_resolve(w["dim_organ_full"].select(F.col("id").alias("_org"), "org_level", "region_id"), w["dim_region_full"], "org_level", "region_id", province=False)
     day = op.star_flatten(w["dws_trans_org_truck_model_type_trans_finish_1d"].where(F.col("dt") == w.today), [(organs, "org_id", "_org", {c: c for c in CITY})])
     day = day.groupBy(F.lit(1).alias("recent_days"), *CITY).agg(*_trans_sums(), *_trans_means())
     many = w["dws_trans_shift_trans_finish_nd"].groupBy("recent_days", *CITY).agg(*_trans_sums(), *_trans_means())

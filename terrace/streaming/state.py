@@ -1,8 +1,9 @@
 """Operators that remember something per key between micro-batches.
 
 Native deduplication and window aggregation are used where they can say it; the rest keep one small value per key with
-transformWithState. Rows of a key are ordered by event time inside a batch, and state is dropped by event-time timers, so
-a replay within the watermark gives the same rows.
+transformWithState. Outputs do not depend on the order in which the rows of a batch reach a task, and state is dropped by
+event-time timers, so a replay within the watermark gives the same rows. Python holds few rows of a key at a time: one per
+day, the versions of a record, or a key's first day.
 """
 
 from __future__ import annotations
@@ -59,15 +60,27 @@ class _Keyed(StatefulProcessor):
         """New state and output rows (values of `columns`) for one input row."""
         raise NotImplementedError
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        stored = self.state.get()
-        known = None if stored is None else tuple(stored)
-        output, latest = Row(*self.columns, *self.added), None
-        # The rows of one key in one micro-batch, which the trigger's limits bound.
+    def walk(self, known: tuple | None, rows: Iterator[Row]) -> Iterator[tuple[tuple, tuple | None]]:
+        """Pairs of state so far and output row. By default the versions of a record, which are few, in order."""
         for row in sorted(rows, key=lambda r: tuple(r["_order"])):
             known, out = self.step(known, row)
-            latest = row["_us"] if latest is None else max(latest, row["_us"])
+            yield known, None
             for values in out:
+                yield known, values
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        stored = self.state.get()
+        known, latest = None if stored is None else tuple(stored), 0
+        output = Row(*self.columns, *self.added)
+
+        def timed():
+            nonlocal latest
+            for row in rows:
+                latest = max(latest, row["_us"])
+                yield row
+
+        for known, values in self.walk(known, timed()):
+            if values is not None:
                 yield output(*values)
         self.state.update(known)
         if self.ttl_ms is not None:
@@ -91,22 +104,52 @@ class _IsNew(_Keyed):
         super().__init__(T.StructType([T.StructField("first_day", T.StringType())]), columns, ttl_ms)
         self.flag = flag
 
-    def step(self, known, row):
-        if known is None:
-            # A key first met with flag 0 was there before: it counts as seen the day before.
-            known = (row["_day"] if row[self.flag] == "1" else row["_day_before"],)
-        flag = "1" if row[self.flag] == "1" and row["_day"] == known[0] else "0"
-        return known, [tuple(flag if c == self.flag else row[c] for c in self.columns)]
+    def flagged(self, row, flag):
+        return tuple(flag if c == self.flag else row[c] for c in self.columns)
+
+    def walk(self, known, rows):
+        """Rows go straight through once the first day is known.
+
+        In the first batch of a key a row is final as soon as an earlier day has been seen, so only rows of the earliest
+        day wait for the end of the batch.
+        """
+        if known is not None:
+            for row in rows:
+                yield known, self.flagged(row, "1" if row[self.flag] == "1" and row["_day"] == known[0] else "0")
+            yield known, None
+            return
+        first, waiting = None, []
+        for row in rows:
+            place = (row["_day"], tuple(row["_order"]))
+            if first is None or place < first[0]:
+                if first is not None and row["_day"] < first[0][0]:
+                    for earlier in waiting:
+                        yield None, self.flagged(earlier, "0")
+                    waiting = []
+                # A key first met with flag 0 was there before: it counts as seen the day before.
+                first = (place, row["_day"] if row[self.flag] == "1" else row["_day_before"])
+            if row[self.flag] == "1" and row["_day"] == first[0][0]:
+                waiting.append(row)
+            else:
+                yield None, self.flagged(row, "0")
+        known = (first[1],)
+        for row in waiting:
+            yield known, self.flagged(row, "1" if row["_day"] == known[0] else "0")
+        yield known, None
 
 
 class _Newest(_Keyed):
-    def __init__(self, columns, ttl_ms):
+    def __init__(self, columns, ttl_ms, arrival):
         super().__init__(T.StructType([T.StructField("us", T.LongType())]), columns, ttl_ms)
+        self.arrival = arrival
 
-    def step(self, known, row):
-        if known is not None and row["_us"] <= known[0]:
-            return known, []
-        return (row["_us"],), [self.values(row)]
+    def walk(self, known, rows):
+        # Rows are taken as they arrive; they are ordered first only if a column names the order of arrival.
+        for row in sorted(rows, key=lambda r: tuple(r["_order"])) if self.arrival else rows:
+            if known is None or row["_us"] > known[0]:
+                known = (row["_us"],)
+                yield known, self.values(row)
+        yield known, None
 
 
 class _Login(_Keyed):
@@ -116,12 +159,17 @@ class _Login(_Keyed):
         super().__init__(T.StructType([T.StructField("day_number", T.IntegerType())]), columns, ttl_ms)
         self.back_days = back_days
 
-    def step(self, known, row):
-        day = row["_day_number"]
-        if known is not None and day <= known[0]:
-            return known, []
-        back = int(known is not None and day - known[0] >= self.back_days)
-        return (day,), [(*self.values(row), 1, back)]
+    def walk(self, known, rows):
+        firsts = {}
+        for row in rows:
+            day, place = row["_day_number"], tuple(row["_order"])
+            if (known is None or day > known[0]) and (day not in firsts or place < firsts[day][0]):
+                firsts[day] = (place, self.values(row))
+        for day in sorted(firsts):
+            back = int(known is not None and day - known[0] >= self.back_days)
+            known = (day,)
+            yield known, (*firsts[day][1], 1, back)
+        yield known, None
 
 
 class _Retract(_Keyed):
@@ -160,8 +208,8 @@ def repair_is_new(df: DataFrame, key: str, flag: str, ts: str, delay: str, ttl:
 
 
 def newest_only(df: DataFrame, keys: Sequence[str], ts: str, delay: str, ttl: str | None = "1 day", order: Sequence[str] = ()) -> DataFrame:
-    """Rows whose time is later than every time seen before for their key. `order` is the order of arrival."""
-    return _transform(df, keys, _Newest(df.columns, _ms(ttl)), df.schema, ts, delay, order or [ts])
+    """Rows whose time is later than every time seen before for their key, in the order of arrival or of `order`."""
+    return _transform(df, keys, _Newest(df.columns, _ms(ttl), bool(order)), df.schema, ts, delay, order or [ts])
 
 
 def login_marks(df: DataFrame, key: str, ts: str, delay: str, back_days: int = 8, ttl: str | None = None, order: Sequence[str] = ()) -> DataFrame:
