@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from oracles import all_oracles
 from oracles.compare import compare, connect
+from terrace.plans.registry import all_queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="session")
@@ -26,3 +28,7 @@ def test_query_matches_sql(spark, con, sf_dir, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
