@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from terrace.llm.byte_bpe import round_trip_digests
 from terrace.llm.common import documents
+from terrace.llm.packing import pack_documents
 from terrace.llm.token_counts import token_counts
 
 
@@ -13,8 +15,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 def queries():
-    return {"op1_token_counts": op1_token_counts}
+    return {"op1_token_counts": op1_token_counts, "op2_byte_bpe": op2_byte_bpe, "op9_packing": op9_packing}
 
 
 def oracle_sql() -> dict[str, str]:
