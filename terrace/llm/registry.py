@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import line_dedup, quality_rules
+from terrace.llm import line_dedup, quality_classifier, quality_rules
 from terrace.llm.byte_bpe import round_trip_digests
 from terrace.llm.common import documents
+from terrace.llm.fingerprints import fingerprints
 from terrace.llm.language_id import language_id
 from terrace.llm.packing import pack_documents
 from terrace.llm.token_counts import token_counts
@@ -25,6 +26,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_classifier(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
@@ -33,12 +38,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 def queries():
-    return {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_quality_rules, op5_language_id, op6_line_dedup, op9_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_quality_rules, op4_quality_classifier, op5_language_id, op6_line_dedup, op7_fingerprints, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
