@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import line_dedup, quality_classifier, quality_rules
+from terrace.llm import line_dedup, near_dedup, quality_classifier, quality_rules
 from terrace.llm.byte_bpe import round_trip_digests
 from terrace.llm.common import documents
 from terrace.llm.fingerprints import fingerprints
 from terrace.llm.language_id import language_id
+from terrace.llm.lm_scoring import lm_scores
 from terrace.llm.packing import pack_documents
 from terrace.llm.token_counts import token_counts
 
@@ -42,13 +43,29 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries():
-    return {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_quality_rules, op4_quality_classifier, op5_language_id, op6_line_dedup, op7_fingerprints, op9_packing)}
+    return {f.__name__: f for f in (
+        op1_token_counts, op2_byte_bpe, op3_quality_rules, op4_quality_classifier, op5_language_id, op6_line_dedup, op7_fingerprints, op8_lm_scoring, op9_packing,
+        op10_near_dedup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality_rules.SQL, "op6_line_dedup": line_dedup.SQL}
+    return {"op3_quality_rules": quality_rules.SQL, "op6_line_dedup": line_dedup.SQL, "op10_near_dedup": near_dedup.SQL}
