@@ -90,9 +90,9 @@ SQL = {
     "home_detail_window": f"""WITH f AS (SELECT event_type, min(ts) AS ts FROM events WHERE event_type IN ('view', 'click') GROUP BY event_type, user_id, CAST(ts AS DATE)), q AS (SELECT event_type, {hour()} AS w FROM f)
         SELECT {bounds('w', '1 HOUR')}, count(*) FILTER (event_type = 'view') AS home_uv_ct, count(*) FILTER (event_type = 'click') AS good_detail_uv_ct
         FROM q WHERE {closed('w', '1 HOUR', '1 DAY', "SELECT max(ts) FROM events WHERE event_type IN ('view', 'click')")} GROUP BY w""",
-    "login_window_back": f"""WITH e AS (SELECT * FROM events WHERE event_type = 'purchase' AND event_id % 7 = 0), f AS (SELECT user_id, CAST(ts AS DATE) AS day, min(ts) AS ts FROM e GROUP BY ALL),
+    "login_window_back": f"""WITH e AS (SELECT * FROM events WHERE event_type = 'purchase'), f AS (SELECT user_id, CAST(ts AS DATE) AS day, min(ts) AS ts FROM e GROUP BY ALL),
         g AS (SELECT *, day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS gap FROM f), q AS (SELECT *, {hour()} AS w FROM g)
-        SELECT {bounds('w', '1 HOUR')}, count(*) FILTER (gap >= 8) AS back_ct, count(*) AS uu_ct FROM q WHERE {closed('w', '1 HOUR', '5 SECOND', 'SELECT max(ts) FROM e')} GROUP BY w""",
+        SELECT {bounds('w', '1 HOUR')}, count(*) FILTER (gap >= 3) AS back_ct, count(*) AS uu_ct FROM q WHERE {closed('w', '1 HOUR', '5 SECOND', 'SELECT max(ts) FROM e')} GROUP BY w""",
     "amount_window": f"""SELECT {bounds('o_orderdate', '1 DAY')}, o_custkey % 25 AS province_id, {dec(f'sum({AMOUNT2})')} AS order_amount FROM orders
         WHERE {closed('o_orderdate', '1 DAY', '1 DAY', 'SELECT max(o_orderdate) FROM orders')} GROUP BY o_orderdate, o_custkey % 25""",
     "amount_window_upsert": f"""WITH q AS (SELECT *, {epoch_bin('l_shipdate', 30)} AS w FROM lineitem) SELECT {bounds('w', '30 DAY')}, l_partkey, {dec(f"sum({amt('l_extendedprice')})")} AS original_amount,

@@ -49,7 +49,7 @@ def pii_mask(c: Column, kind: str) -> Column:
         "name": lambda: initial_mask(c),
         "phone": lambda: F.when(c.rlike(PHONE_STRICT), F.concat(F.substring(c, 1, 3), F.lit("*"))),
         "phone_tail": lambda: F.when(c.rlike(PHONE_LOOSE),
-                                     F.concat(F.substring(c, 1, 3), F.lit("****"), F.substring(c, 8, 1000))),
+                                     F.concat(F.substring(c, 1, 3), F.lit("****"), F.substring(c, F.lit(8), F.length(c)))),
         "email": lambda: F.when(c.rlike(EMAIL_STRICT), F.concat(F.lit("*@"), F.split(c, "@")[1])),
         "email_tail": lambda: F.when(c.rlike(EMAIL_LOOSE), F.concat(F.lit("***@"), F.split(c, "@")[1])),
     }

@@ -29,11 +29,13 @@ def in_flight_balance(opened: DataFrame, closed: DataFrame, measures: Sequence[s
 
 def split_attribution(df: DataFrame, owners: Sequence[Column], owner_name: str, shared: Sequence[str],
                       keep: Sequence[str]) -> DataFrame:
-    """One row per owner. `shared` measures are divided evenly among the owners, `keep` columns are not."""
+    """One row per owner. `shared` measures are divided evenly among the owners, `keep` columns are not.
+
+    A row without any owner stays whole, under a null owner."""
     present = F.filter(F.array(*owners), lambda o: o.isNotNull())
-    rows = df.withColumn("_owners", present).withColumn("_count", F.size("_owners"))
+    rows = df.withColumn("_owners", present).withColumn("_count", F.greatest(F.size("_owners"), F.lit(1)))
     halves = [(F.col(m) / F.col("_count")).alias(m) for m in shared]
-    return rows.select(F.explode("_owners").alias(owner_name), *halves, *keep)
+    return rows.select(F.explode_outer("_owners").alias(owner_name), *halves, *keep)
 
 
 def missing_rows(new: DataFrame, history: DataFrame) -> DataFrame:

@@ -41,29 +41,28 @@ def session_traffic_stats(events: DataFrame, session: Sequence[str], device: str
     return channel_stats(sessions, date_col, "channel", device, as_of, days, per_second=per_second)
 
 
-def page_path(views: DataFrame, session: Sequence[str], page: str, time_col: str, tie: str,
-              hot_rows: int = 1_000_000) -> DataFrame:
+def page_path(views: DataFrame, session: Sequence[str], page: str, time_col: str, tie: str, piece_seconds: int = 3600) -> DataFrame:
     """Edges `step-n:page` to `step-(n+1):next` with their counts.
 
-    Steps need every session in order. A session of more than `hot_rows` rows is cut into pieces of one second,
-    numbered piece by piece; the piece totals (one short row each) carry the step offset and the next page
-    across the cuts. Other sessions are one piece, and take the same path.
+    Steps need every session in order. Every session is cut into pieces of `piece_seconds`; a piece is what one task has to sort, and
+    the piece totals (one short row each) carry the step offset and the next page across the cuts. Rows without a session are one
+    session, rows without a time come first in theirs.
     """
     views = views.select(*session, F.col(page).alias("_page"), F.col(time_col).alias("_t"), F.col(tie).alias("_tie"))
-    # At most rows / hot_rows sessions can be in this list.
-    hot = views.groupBy(*session).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    cut = (views.join(hot, list(session), "left")
-           .withColumn("_piece", F.when(F.col("_rows").isNotNull(), F.unix_seconds("_t")).otherwise(F.lit(0))))
+    cut = views.withColumn("_piece", F.coalesce(F.floor(F.unix_seconds("_t") / piece_seconds), F.lit(-(1 << 62))))
     keys = [*session, "_piece"]
     first_page = F.min(F.struct("_t", "_tie", "_page"))["_page"]
     pieces = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"), first_page.alias("_first"))
     along = Window.partitionBy(*session).orderBy("_piece")
-    pieces = pieces.select(*keys, F.lead("_first").over(along).alias("_after"),
+    pieces = pieces.select(*[F.col(k).alias(f"_of{i}") for i, k in enumerate(keys)], F.lead("_first").over(along).alias("_after"),
                            (F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
                             - F.col("_size")).alias("_before"))
-    inside = Window.partitionBy(*keys).orderBy("_t", "_tie")
+    inside = Window.partitionBy(*keys).orderBy("_t", "_tie", "_page")
+    same_piece = F.lit(True)
+    for i, k in enumerate(keys):
+        same_piece = same_piece & F.col(k).eqNullSafe(F.col(f"_of{i}"))
     steps = (cut.select(*keys, "_page", F.row_number().over(inside).alias("_n"), F.lead("_page").over(inside).alias("_next"))
-             .join(pieces, keys)
+             .join(pieces, same_piece)
              .select("_page", (F.col("_n") + F.col("_before")).alias("_step"), F.coalesce("_next", "_after").alias("_next")))
     return steps.groupBy(
         F.concat(F.lit("step-"), F.col("_step").cast("string"), F.lit(":"), "_page").alias("source"),

@@ -24,10 +24,14 @@ DELAY = "5 seconds"
 
 
 def log_splitter(log: DataFrame, delay: str = DELAY) -> dict[str, DataFrame]:
-    """Dirty rows, and the err / start / display / action / page streams with the new-visitor flag repaired."""
+    """Dirty rows, and the err / start / display / action / page streams with the new-visitor flag repaired.
+
+    A record without an event time is dirty. The flag of a record without a device can't be repaired and stays as it is.
+    """
     good, dirty = st.parse_or_dirty(log, "log", LOG_FULL)
-    rows = good.select("log", F.col("doc.common.mid").alias("mid"), F.col("doc.common.is_new").alias("is_new"), F.timestamp_millis("doc.ts").alias("ts"))
-    fixed = st.repair_is_new(rows, "mid", "is_new", "ts", delay)
+    dirty = dirty.unionByName(good.where("doc.ts is null").select(*log.columns))
+    rows = good.where("doc.ts is not null").select("log", F.col("doc.common.mid").alias("mid"), F.col("doc.common.is_new").alias("is_new"), F.timestamp_millis("doc.ts").alias("ts"))
+    fixed = st.repair_is_new(rows.where("mid is not null"), "mid", "is_new", "ts", delay).unionByName(rows.where("mid is null"))
     doc = F.from_json("log", LOG_FULL)
     whole = fixed.withColumn("doc", doc.withField("common", doc["common"].withField("is_new", F.col("is_new")))).select("doc.*")
     return {"dirty": dirty, **st.split_log(whole)}
@@ -71,13 +75,13 @@ def detail_rows(cdc: DataFrame, delay: str) -> DataFrame:
     return rows.withColumnRenamed("event_time", "detail_time").withWatermark("detail_time", delay)
 
 
-def order_detail_fact(cdc: DataFrame, lo: str = "-5 seconds", hi: str = "5 seconds", delay: str = DELAY) -> DataFrame:
+def order_detail_fact(cdc: DataFrame, lo: str = "-5 seconds", hi: str = "5 seconds", delay: str = DELAY, side_lo: str = "-5 minutes", side_hi: str = "5 minutes") -> DataFrame:
     activity = st.cdc_select(cdc, "order_detail_activity", ["r", "c"], {"order_detail_id": "act_detail_id string", "activity_id": "activity_id string",
                                                                        "activity_rule_id": "activity_rule_id string"})
     coupon = st.cdc_select(cdc, "order_detail_coupon", ["r", "c"], {"order_detail_id": "cou_detail_id string", "coupon_id": "coupon_id string"})
     rows = st.order_detail_stream(
         detail_rows(cdc, delay), order_rows(cdc, ["r", "c"], None, delay), activity.withColumnRenamed("event_time", "act_time").withWatermark("act_time", delay),
-        coupon.withColumnRenamed("event_time", "cou_time").withWatermark("cou_time", delay), lo, hi)
+        coupon.withColumnRenamed("event_time", "cou_time").withWatermark("cou_time", delay), lo, hi, side_lo, side_hi)
     return rows.drop("header_id", "act_detail_id", "cou_detail_id")
 
 
@@ -125,10 +129,10 @@ def cart_unique_users(cart: DataFrame, size: str = "5 seconds") -> DataFrame:
     return st.unique_window(cart, "event_time", ["user_id"], size, name="cart_add_uu_ct")
 
 
-def province_orders(detail: DataFrame, provinces: DataFrame, size: str = "10 seconds", delay: str = DELAY, order: Sequence[str] = ()) -> DataFrame:
+def province_orders(detail: DataFrame, provinces: DataFrame, size: str = "10 seconds", delay: str = DELAY, order: Sequence[str] = (), ttl: str = "1 day") -> DataFrame:
     """Distinct orders and net amount per province and window, as JSON rows."""
     clean = st.retract_dedup(detail.select("id", "order_id", "province_id", "split_total_amount", "event_time", *order), "id", ["split_total_amount"], "event_time", delay,
-                             order=["event_time", *order])
+                             ttl, ["event_time", *order])
     sums = st.distinct_window(clean, "event_time", ["province_id"], "order_id", "split_total_amount", size, None)
     return st.to_snake_json(st.lookup(sums, provinces, ("province_id", "id"), {"province_name": "province_name"}))
 
@@ -136,9 +140,9 @@ def province_orders(detail: DataFrame, provinces: DataFrame, size: str = "10 sec
 SKU_SUMS = {"original_amount": "split_original_amount", "activity_reduce_amount": "split_activity_amount", "coupon_reduce_amount": "split_coupon_amount", "order_amount": "split_total_amount"}
 
 
-def sku_orders(detail: DataFrame, dims: Mapping[str, DataFrame], size: str = "5 seconds", delay: str = DELAY, order: Sequence[str] = ()) -> DataFrame:
+def sku_orders(detail: DataFrame, dims: Mapping[str, DataFrame], size: str = "5 seconds", delay: str = DELAY, order: Sequence[str] = (), ttl: str = "1 day") -> DataFrame:
     """Four amounts per product and window with brand and category names, as JSON rows."""
-    clean = st.retract_dedup(detail.select("id", "sku_id", *SKU_SUMS.values(), "event_time", *order), "id", list(SKU_SUMS.values()), "event_time", delay, order=["event_time", *order])
+    clean = st.retract_dedup(detail.select("id", "sku_id", *SKU_SUMS.values(), "event_time", *order), "id", list(SKU_SUMS.values()), "event_time", delay, ttl, ["event_time", *order])
     sums = st.amount_window(clean, "event_time", ["sku_id"], SKU_SUMS, size)
     steps = [(dims["sku"], ("sku_id", "id"), {"sku_name": "sku_name", "spu_id": "spu_id", "category3_id": "category3_id", "tm_id": "tm_id"}),
              (dims["spu"], ("spu_id", "id"), {"spu_name": "spu_name"}), (dims["trademark"], ("tm_id", "id"), {"tm_name": "trademark_name"}),

@@ -128,9 +128,9 @@ def page_path(t):
 
 @query
 def page_path_hot_sessions(t):
-    """The same report with every session taken as too large for one task."""
+    """The same report with pieces of one second, as for sessions that are too large for one task by the hour."""
     events = t.events.withColumn("day", F.to_date("ts"))
-    return op.page_path(events, ["user_id", "day"], "event_type", "ts", "event_id", hot_rows=0)
+    return op.page_path(events, ["user_id", "day"], "event_type", "ts", "event_id", piece_seconds=1)
 
 
 def _purchases(t):
@@ -431,4 +431,4 @@ def latest_partition(t):
 @query
 def limit_sample(t):
     """Sample load: the first rows by key, ordered so that it is repeatable."""
-    return t.orders.select("o_orderkey", "o_custkey").orderBy("o_orderkey").limit(50)
+    return op.first_rows(t.orders.select("o_orderkey", "o_custkey"), ["o_orderkey"], 50)

@@ -136,7 +136,7 @@ def _headers(t, *extra):
 def order_detail_stream(t):
     activity = t.lineitem.where("l_discount > 0.05").select(line_id().alias("act_detail_id"), (F.col("l_suppkey") % 25).alias("activity_id"), F.col("l_shipdate").alias("act_time"))
     coupon = t.lineitem.where("l_tax > 0.04").select(line_id().alias("cou_detail_id"), F.col("l_suppkey").alias("coupon_id"), F.col("l_shipdate").alias("cou_time"))
-    rows = st.order_detail_stream(_details(t), _headers(t), activity.withWatermark("act_time", "1 day"), coupon.withWatermark("cou_time", "1 day"), "-30 days", "30 days")
+    rows = st.order_detail_stream(_details(t), _headers(t), activity.withWatermark("act_time", "1 day"), coupon.withWatermark("cou_time", "1 day"), "-30 days", "30 days", "-1 day", "1 day")
     return run_to_end(rows.select("id", "order_id", "user_id", "amount", "activity_id", "coupon_id"))
 
 
@@ -272,8 +272,8 @@ def home_detail_window(t):
 
 @query
 def login_window_back(t):
-    rows = t.events.where("event_type = 'purchase' and event_id % 7 = 0").select("event_id", "user_id", "ts")
-    return run_to_end(login_window(rows, "ts", "user_id", "1 hour", "5 seconds", order=["ts", "event_id"]))
+    rows = t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    return run_to_end(login_window(rows, "ts", "user_id", "1 hour", "5 seconds", back_days=3, order=["ts", "event_id"]))
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.session import tune
-from terrace.sources import SCHEMAS, load, write_partitions, write_text_table
+from terrace.sources import SCHEMAS, append_text_rows, load, write_partitions
 
 
 class Warehouse:
@@ -17,12 +17,23 @@ class Warehouse:
 
     Run layer by layer in production: publish() each table and pass the stored ones as `stored`, so a report reads
     yesterday's rollups instead of recomputing them. Without stored layers a report is one plan over the raw tables.
+    Of a stored table that holds a whole snapshot per dt (dimensions, n-day and to-date rollups) only today's is read.
     """
 
     def __init__(self, raw: Callable[[str], DataFrame], jobs: Mapping[str, Callable[["Warehouse"], DataFrame]], as_of: date,
                  stored: Mapping[str, DataFrame] | None = None):
         self.as_of, self._raw, self._jobs = as_of, raw, jobs
-        self._frames = dict(stored or {})
+        self._stored = dict(stored or {})
+        self._frames = {name: self._snapshot(name, self.today) for name in self._stored}
+
+    def _snapshot(self, name: str, day: str) -> DataFrame:
+        frame = self._stored[name]
+        whole = name.startswith("dim_") and not name.endswith("_zip") or name.endswith(("_nd", "_td"))
+        return frame.where(F.col("dt") == F.lit(day)) if whole and "dt" in frame.columns else frame
+
+    def yesterday(self, name: str) -> DataFrame | None:
+        """The snapshot that a stored table holds for the day before, or None where the table is not stored."""
+        return self._snapshot(name, self.days_ago(1)) if name in self._stored else None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -41,9 +52,12 @@ class Warehouse:
         return (self.as_of - timedelta(days=n)).isoformat()
 
     def publish(self, name: str, root: str, fmt: str = "orc") -> None:
-        """Write a table: dimensions, facts and rollups by dt partition, reports as tab-delimited text."""
+        """Write a table: dimensions, facts and rollups by dt partition, reports as tab-delimited text.
+
+        A report's table keeps the rows of earlier days; publishing a day twice adds nothing.
+        """
         if name.startswith("ads_"):
-            write_text_table(self[name], f"{root}/{name}")
+            append_text_rows(self[name].sparkSession, self[name], f"{root}/{name}")
         else:
             frame = self[name]
             write_partitions(frame if "dt" in frame.columns else frame.withColumn("dt", F.lit(self.today)), f"{root}/{name}", fmt=fmt)

@@ -5,6 +5,7 @@ Only runtime SQL settings are touched, so the functions also work on a session s
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,12 +33,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    The cluster names it in spark.checkpoint.dir. Only where that is unset, as in local tests, a local folder
-    is made and remembered.
+    The cluster names it in spark.checkpoint.dir. Only where that is unset and the master is local, as in tests, a local
+    folder is made and remembered; executors of a cluster would not see each other's files there.
     """
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = spark.conf.get("terrace.work.dir", None)
     if not local:
         local = tempfile.mkdtemp(prefix="terrace-")

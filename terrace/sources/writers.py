@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.errors import AnalysisException
@@ -24,11 +25,19 @@ def write_partitions(df: DataFrame, path: str, part: str = "dt", fmt: str = "par
      .partitionBy(part).format(fmt).save(path))
 
 
-def replace_partitions(spark: SparkSession, df: DataFrame, path: str, part: str = "dt", fmt: str = "parquet") -> None:
-    """write_partitions for a frame that was itself read from `path`: staged first, then swapped in."""
+def replace_partitions(spark: SparkSession, df: DataFrame, path: str, part: str = "dt", fmt: str = "parquet", emptied: Sequence[str] = ()) -> None:
+    """write_partitions for a frame that was itself read from `path`: staged first, then swapped in.
+
+    `emptied` names partitions that were read and may hold no row any more, such as that of the open rows of a history;
+    those that `df` has no row for are left empty.
+    """
     staged = f"{work_dir(spark)}/staged-{uuid.uuid4().hex}"
     df.write.format(fmt).save(staged)
-    write_partitions(spark.read.schema(df.schema).format(fmt).load(staged), path, part, fmt)
+    rows = spark.read.schema(df.schema).format(fmt).load(staged)
+    write_partitions(rows, path, part, fmt)
+    for value in emptied:
+        if rows.where(F.col(part) == value).isEmpty():
+            rows.drop(part).limit(0).write.mode("overwrite").format(fmt).save(f"{path}/{part}={value}")
 
 
 def append_missing(spark: SparkSession, new: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -68,9 +77,23 @@ def register_table(spark: SparkSession, table: str, path: str, schema: str, part
     spark.catalog.recoverPartitions(table)
 
 
-def write_text_table(df: DataFrame, path: str) -> None:
+def write_text_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Report layer as tab-delimited text."""
-    df.write.mode("overwrite").csv(path, sep="\t", nullValue="\\N", quote="", emptyValue="")
+    df.write.mode(mode).csv(path, sep="\t", nullValue="\\N", quote="", emptyValue="")
+
+
+def append_text_rows(spark: SparkSession, new: DataFrame, path: str) -> None:
+    """Add the rows of a report that its text table does not hold yet; its history stays."""
+    from terrace.operators.combine import missing_rows
+
+    new = new.distinct()
+    try:
+        history = spark.read.schema(new.schema).csv(path, sep="\t", nullValue="\\N", quote="", mode="FAILFAST")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        history = None
+    write_text_table(new if history is None else missing_rows(new, history), path, "append")
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

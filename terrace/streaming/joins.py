@@ -37,16 +37,17 @@ def interval_merge(left: DataFrame, right: DataFrame, on: Mapping[str, str], lef
     return interval_join(left, side, {l: prefix + r for l, r in on.items()}, left_time, prefix + right_time, lo, hi)
 
 
-def order_detail_stream(detail: DataFrame, header: DataFrame, activity: DataFrame, coupon: DataFrame, lo: str, hi: str) -> DataFrame:
-    """Detail rows with header (inner), activity and coupon (left outer).
+def order_detail_stream(detail: DataFrame, header: DataFrame, activity: DataFrame, coupon: DataFrame, lo: str, hi: str,
+                        side_lo: str, side_hi: str) -> DataFrame:
+    """Detail rows with header (inner; within lo..hi), activity and coupon (left outer; within side_lo..side_hi of them).
 
     Columns: detail(id, order_id, detail_time, ..), header(header_id, header_time, ..), activity(act_detail_id, act_time, ..),
     coupon(cou_detail_id, cou_time, ..). Unmatched details leave the outer joins once the watermark passes their range.
     """
     # Only one event time may go on after each join: the detail's.
     rows = interval_join(detail, header, {"order_id": "header_id"}, "detail_time", "header_time", lo, hi).drop("header_time")
-    rows = interval_join(rows, activity, {"id": "act_detail_id"}, "detail_time", "act_time", "-5 seconds", "5 seconds", "leftOuter").drop("act_time")
-    return interval_join(rows, coupon, {"id": "cou_detail_id"}, "detail_time", "cou_time", "-5 seconds", "5 seconds", "leftOuter").drop("cou_time")
+    rows = interval_join(rows, activity, {"id": "act_detail_id"}, "detail_time", "act_time", side_lo, side_hi, "leftOuter").drop("act_time")
+    return interval_join(rows, coupon, {"id": "cou_detail_id"}, "detail_time", "cou_time", side_lo, side_hi, "leftOuter").drop("cou_time")
 
 
 def cancel_stream(detail: DataFrame, orders: DataFrame, status: str, cancelled: Sequence[str], lo: str, hi: str) -> DataFrame:

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from terrace.session import tune, work_dir
 from terrace.streaming.sinks import read_latest, upsert_log
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the stateful operators of a query have dropped as too late, as far as its progress reports reach back."""
+    return sum(state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"])
+
+
 def run_to_end(df: DataFrame, mode: str = "append", keys: Sequence[str] | None = None) -> DataFrame:
     """Process all available input and return the rows written.
 
@@ -22,4 +29,6 @@ def run_to_end(df: DataFrame, mode: str = "append", keys: Sequence[str] | None =
     query = (df.writeStream.foreachBatch(upsert_log(f"{base}/rows")).outputMode(mode)
              .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     query.awaitTermination()
+    if late := late_rows(query):
+        logging.getLogger(__name__).warning("%d rows came behind the watermark and were dropped", late)
     return read_latest(spark, f"{base}/rows", df.schema, keys if mode == "update" else None)

@@ -45,13 +45,18 @@ def emit_last(df: DataFrame, key: str, ts: str, delay: str, watermark: str, orde
 class _Keyed(StatefulProcessor):
     """One value per key, cleared `ttl_ms` of event time after it was last written.
 
-    Rows bring `_us` (event time in microseconds), `_day` (its day) and `_order` (a struct to sort by), computed by Spark.
+    Rows bring `_us` (event time in microseconds), `_day` (its day) and `_o0`, `_o1`, .. (values to sort by), computed by Spark.
     """
 
     added: tuple[str, ...] = ()
 
     def __init__(self, state_schema: T.StructType, columns: Sequence[str], ttl_ms: int | None):
-        self.state_schema, self.columns, self.ttl_ms = state_schema, list(columns), ttl_ms
+        self.state_schema, self.columns, self.ttl_ms, self.places = state_schema, list(columns), ttl_ms, 0
+
+    def place(self, row: Row) -> tuple:
+        """What a row is ordered by, nulls first."""
+        values = [row[f"_o{i}"] for i in range(self.places)]
+        return tuple((0,) if v is None else (1, v) for v in values)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.state = handle, handle.getValueState("last", self.state_schema)
@@ -62,7 +67,7 @@ class _Keyed(StatefulProcessor):
 
     def walk(self, known: tuple | None, rows: Iterator[Row]) -> Iterator[tuple[tuple, tuple | None]]:
         """Pairs of state so far and output row. By default the versions of a record, which are few, in order."""
-        for row in sorted(rows, key=lambda r: tuple(r["_order"])):
+        for row in sorted(rows, key=self.place):
             known, out = self.step(known, row)
             yield known, None
             for values in out:
@@ -120,7 +125,7 @@ class _IsNew(_Keyed):
             return
         first, waiting = None, []
         for row in rows:
-            place = (row["_day"], tuple(row["_order"]))
+            place = (row["_day"], self.place(row))
             if first is None or place < first[0]:
                 if first is not None and row["_day"] < first[0][0]:
                     for earlier in waiting:
@@ -145,7 +150,7 @@ class _Newest(_Keyed):
 
     def walk(self, known, rows):
         # Rows are taken as they arrive; they are ordered first only if a column names the order of arrival.
-        for row in sorted(rows, key=lambda r: tuple(r["_order"])) if self.arrival else rows:
+        for row in sorted(rows, key=self.place) if self.arrival else rows:
             if known is None or row["_us"] > known[0]:
                 known = (row["_us"],)
                 yield known, self.values(row)
@@ -162,7 +167,7 @@ class _Login(_Keyed):
     def walk(self, known, rows):
         firsts = {}
         for row in rows:
-            day, place = row["_day_number"], tuple(row["_order"])
+            day, place = row["_day_number"], self.place(row)
             if (known is None or day > known[0]) and (day not in firsts or place < firsts[day][0]):
                 firsts[day] = (place, self.values(row))
         for day in sorted(firsts):
@@ -187,9 +192,12 @@ class _Retract(_Keyed):
 
 
 def _transform(df: DataFrame, keys: Sequence[str], processor: _Keyed, schema: T.StructType, ts: str, delay: str, order: Sequence[str]) -> DataFrame:
-    rows = df.withWatermark(ts, delay).withColumns({
+    """Rows without an event time have no place in the order of a key: callers send them elsewhere, and here they are dropped."""
+    places = {f"_o{i}": F.unix_micros(c) if c == ts else F.col(c) for i, c in enumerate(order)}
+    processor.places = len(places)
+    rows = df.withWatermark(ts, delay).where(F.col(ts).isNotNull()).withColumns({
         "_us": F.unix_micros(ts), "_day": F.date_format(ts, "yyyy-MM-dd"), "_day_before": F.date_format(F.date_sub(ts, 1), "yyyy-MM-dd"),
-        "_day_number": F.unix_date(F.to_date(ts)), "_order": F.struct(*[F.unix_micros(c) if c == ts else F.col(c) for c in order])})
+        "_day_number": F.unix_date(F.to_date(ts)), **places})
     return rows.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime", eventTimeColumnName=ts)
 

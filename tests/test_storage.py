@@ -39,6 +39,15 @@ def test_replace_partitions_read_from_themselves(spark, tmp_path):
     assert values(spark.read.schema("id int, dt string").parquet(path)) == values(spark.createDataFrame([(1, "2024-01-02"), (2, "9999-12-31"), (3, "2024-01-01")], "id int, dt string"))
 
 
+def test_closing_the_last_open_row_empties_its_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_partitions(spark.createDataFrame([(1, "9999-12-31"), (3, "2024-01-01")], "id int, dt string"), path)
+    table = spark.read.schema("id int, dt string").parquet(path)
+    closed = table.where("dt = '9999-12-31'").withColumn("dt", F.lit("2024-01-02"))
+    replace_partitions(spark, closed, path, emptied=["9999-12-31"])
+    assert values(spark.read.schema("id int, dt string").parquet(path)) == values(spark.createDataFrame([(1, "2024-01-02"), (3, "2024-01-01")], "id int, dt string"))
+
+
 def test_rows_are_counted_while_writing(spark, tmp_path):
     df, seen = observed(spark.range(7), "rows")
     df.write.parquet(str(tmp_path / "t"))

@@ -73,9 +73,9 @@ def test_combine_keeps_one_row_for_a_key_of_any_frame(spark):
 
 
 def test_identical_two_driver_rows_both_count(spark):
-    df = spark.createDataFrame([(1, 2, 10, 1), (1, 2, 10, 1), (3, None, 7, 1)], "d1 int, d2 int, km int, n int")
+    df = spark.createDataFrame([(1, 2, 10, 1), (1, 2, 10, 1), (3, None, 7, 1), (None, None, 5, 1)], "d1 int, d2 int, km int, n int")
     out = op.split_attribution(df, [F.col("d1"), F.col("d2")], "driver", ["km"], ["n"]).groupBy("driver").agg(F.sum("km"), F.sum("n"))
-    assert rows(out) == [(1, 10.0, 2), (2, 10.0, 2), (3, 7.0, 1)]
+    assert rows(out) == sorted([(1, 10.0, 2), (2, 10.0, 2), (3, 7.0, 1), (None, 5.0, 1)], key=str)
 
 
 def test_history_table_merge(spark):
@@ -94,7 +94,14 @@ def test_page_path_is_the_same_for_large_sessions(spark):
     data = [(s, i // 3, i, "abc"[(i * 7 + s) % 3]) for s in range(4) for i in range(20)]
     df = spark.createDataFrame(data, "s int, sec int, id int, page string").withColumn("t", F.timestamp_seconds("sec"))
     plain = rows(op.page_path(df, ["s"], "page", "t", "id"))
-    assert rows(op.page_path(df, ["s"], "page", "t", "id", hot_rows=5)) == plain and sum(r[2] for r in plain) == 80
+    assert rows(op.page_path(df, ["s"], "page", "t", "id", piece_seconds=1)) == plain and sum(r[2] for r in plain) == 80
+
+
+def test_page_path_keeps_rows_without_session_or_time(spark):
+    df = spark.createDataFrame([(None, 5, 1, "a"), (None, 4000, 2, "b"), (None, None, 3, "c"), (7, 9, 4, "a"), (7, None, 5, "b")], "s int, sec int, id int, page string")
+    for seconds in (1, 3600):
+        got = rows(op.page_path(df.withColumn("t", F.timestamp_seconds("sec")), ["s"], "page", "t", "id", piece_seconds=seconds))
+        assert got == sorted([("step-1:c", "step-2:a", 1), ("step-2:a", "step-3:b", 1), ("step-3:b", "null", 1), ("step-1:b", "step-2:a", 1), ("step-2:a", "null", 1)], key=str)
 
 
 def test_decode_miss_is_null(spark):
@@ -141,6 +148,21 @@ def test_newest_only_drops_equal_times(spark, tmp_path):
     assert rows(st.run_to_end(st.newest_only(stream, ["k"], "ts", "1 minute", order=["id"])), "id") == [(1,), (3,), (5,)]
 
 
+def test_state_operators_follow_their_order_whatever_the_files(spark, tmp_path):
+    schema = "k string, v int, s int, amount decimal(16,2)"
+    data = [("a", 3, 30, Decimal("30.00")), ("a", 1, 10, Decimal("5.00")), ("a", 2, 20, Decimal("7.00"))] + [("b", i, i, Decimal(i)) for i in range(200, 0, -1)]
+    for n in (1, 4):
+        frame = spark.createDataFrame(data, schema).withColumn("ts", F.timestamp_seconds("s"))
+        (frame.coalesce(1) if n == 1 else frame.repartition(n)).write.parquet(str(tmp_path / f"in{n}"))
+        stream = lambda: spark.readStream.schema(schema + ", ts timestamp").parquet(str(tmp_path / f"in{n}"))  # noqa: B023,E731
+        net = st.run_to_end(st.retract_dedup(stream(), "k", ["amount"], "ts", "1 hour", order=["v"])).groupBy("k").agg(F.sum("amount").cast("int").alias("net"))
+        assert rows(net, "k", "net") == [("a", 30), ("b", 200)]
+        newest = st.run_to_end(st.newest_only(stream(), ["k"], "ts", "1 hour", order=["s"]))
+        assert newest.where("k = 'a'").count() == 3 and newest.where("k = 'b'").count() == 200
+        marks = st.run_to_end(st.login_marks(stream(), "k", "ts", "1 hour", order=["ts"]))
+        assert rows(marks, "k", "s") == [("a", 10), ("b", 1)]
+
+
 def test_new_visitor_flag_across_days_and_batches(spark, tmp_path):
     day = 86400
     batches = [[("a", "1", 10), ("b", "0", 20)], [("a", "1", 30), ("a", "1", day + 5), ("b", "1", day + 6)], [("c", "1", 2 * day), ("a", "1", 2 * day)]]
