@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.session import work_dir
@@ -35,7 +36,7 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
 
 def byte_slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each slice holds about `most` bytes of text; a longer text is a slice of its own."""
-    sizes = [len(x) if x else 0 for x in batch.column(column).cast(pa.binary()).to_pylist()] if batch.num_rows > 1 else [0]
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         if i > start and held + size > most:

@@ -28,7 +28,7 @@ CUT = 2
 BACKOFF = 0.4
 SLICE_BYTES = 1 << 21
 BUCKET_PAIRS = 3_000_000
-REMEMBERED_WORDS = 1 << 20
+REMEMBERED_WORDS = 1 << 18
 ROW_PAIRS = 100_000
 
 

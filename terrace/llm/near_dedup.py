@@ -37,7 +37,7 @@ PIVOTS = 3
 MOST_SENT_IDS = 1 << 20
 
 _WORDS: dict[bytes, int] = {}
-REMEMBERED_WORDS = 1 << 20
+REMEMBERED_WORDS = 1 << 18
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
