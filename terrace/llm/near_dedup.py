@@ -113,9 +113,11 @@ def whole_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def prefix_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """From id, n, values: value, id, n, m for the rarest values of each set, in lists of at least two ids; m is the list's length.
+    """From id, n, values: value, id, n, most, reach, m for the rarest values of each set, in lists of at least two ids.
 
-    Sets that have `percent` of their values in common meet in at least one of these lists.
+    m is the list's length, `most` how many of the set's values any other set holds, and `reach` how many of its values are not rarer
+    than this one. Sets that have `percent` of their values in common meet in at least one of these lists, first in that of their
+    rarest common value, where both must reach far enough.
     """
     postings = sets.select("id", F.explode("values").alias("value"))
     common = postings.groupBy("value").agg(F.count("*").alias("m")).filter("m > 1")
@@ -123,39 +125,45 @@ def prefix_lists(sets: DataFrame, percent: int) -> DataFrame:
     sizes = sets.select("id", "n", F.size("values").alias("total"))
     alone = F.col("total") - F.size("held")  # values that no other set holds are the rarest
     room = F.col("total") - F.ceil(F.col("total") * percent / 100).cast("int") + 1 - alone
-    entries = held.join(sizes, "id").filter(room > 0).select("id", "n", F.explode(F.slice("held", F.lit(1), room)).alias("entry")).select("id", "n", F.col("entry.value").alias("value"))
+    entries = held.join(sizes, "id").filter(room > 0).select("id", "n", F.size("held").cast("long").alias("most"), F.posexplode(F.slice("held", F.lit(1), room)).alias("at", "entry"))
+    entries = entries.select("id", "n", "most", (F.col("most") - F.col("at")).alias("reach"), F.col("entry.value").alias("value"))
     entries = staged(entries, "entries")
     lengths = entries.groupBy("value").agg(F.count("*").alias("m")).filter("m > 1")
-    return entries.join(lengths, "value").select("value", "id", "n", "m")
+    return entries.join(lengths, "value").select("value", "id", "n", "most", "reach", "m")
 
 
-def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
-    return (100 * a >= percent * b) & (100 * b >= percent * a)
+def _may_link(a: Column, b: Column, percent: int, bound: str) -> Column:
+    """Whether two entries' sizes, and a bound of what each can share, allow a link: a link shares at least
+    percent / (100 + percent) of both sizes together."""
+    return (100 + percent) * F.least(a[bound], b[bound]) >= percent * (a["n"] + b["n"])
 
 
 def short_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """All pairs a < b of the short lists whose sizes allow a link."""
-    groups = lists.filter(F.col("m") <= SHORT_LIST).groupBy("value").agg(F.collect_list(F.struct("id", "n")).alias("ids"))  # at most SHORT_LIST
-    later = lambda x: F.filter("ids", lambda y: (y["id"] > x["id"]) & _sizes_fit(x["n"], y["n"], percent))
+    groups = lists.filter(F.col("m") <= SHORT_LIST).groupBy("value").agg(F.collect_list(F.struct("id", "n", "reach")).alias("ids"))  # at most SHORT_LIST
+    later = lambda x: F.filter("ids", lambda y: (y["id"] > x["id"]) & _may_link(x, y, percent, "reach"))
     pairs = F.flatten(F.transform("ids", lambda x: F.transform(later(x), lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))))
     return groups.select(F.inline(pairs)).distinct()
 
 
 def pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the ids of long lists with each of a few pivots of their list."""
-    picks = [F.min_by(F.struct("id", "n"), F.xxhash64("id", F.lit(i))) for i in range(PIVOTS)]
+    """Pairs of the ids of long lists with each of a few pivots of their list. The first pivot is the set with the fewest values of its
+    own, which in a group of edited copies is the one closest to all others."""
+    entry = F.struct("id", "n", "most")
+    picks = [F.min_by(entry, F.struct(F.col("n") - F.col("most"), F.col("id"))), *(F.min_by(entry, F.xxhash64("id", F.lit(i))) for i in range(1, PIVOTS))]
     pivots = lists.groupBy("value").agg(F.array(*picks).alias("pivots"))
-    pairs = lists.join(pivots, "value").select("id", "n", F.explode("pivots").alias("p")).filter((F.col("p.id") != F.col("id")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
-    return pairs.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+    pairs = lists.join(pivots, "value").select(entry.alias("x"), F.explode("pivots").alias("p")).filter((F.col("p.id") != F.col("x.id")) & _may_link(F.col("x"), F.col("p"), percent, "most"))
+    return pairs.select(F.least("x.id", "p.id").alias("a"), F.greatest("x.id", "p.id").alias("b")).distinct()
 
 
 def crossing_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs within long lists of ids outside the list's main component with all ids of the list in another component than theirs."""
-    placed = staged(with_label(lists.select("value", "id", "n"), labels, "id"), "placed")
+    placed = staged(with_label(lists.select("value", "id", "n", "reach"), labels, "id"), "placed")
     main = placed.groupBy("value", "label").agg(F.count("*").alias("c")).groupBy("value").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-    outside = placed.join(main, "value").filter(F.col("label") != F.col("main")).select("value", F.col("id").alias("x"), F.col("n").alias("x_n"), F.col("label").alias("x_label"))
-    pairs = outside.join(placed, "value").filter((F.col("label") != F.col("x_label")) & _sizes_fit(F.col("n"), F.col("x_n"), percent))
-    return pairs.select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
+    outside = placed.join(main, "value").filter(F.col("label") != F.col("main")).select("value", F.struct("id", "n", "reach", "label").alias("x"))
+    pairs = outside.join(placed.select("value", F.struct("id", "n", "reach", "label").alias("y")), "value").filter(
+        (F.col("x.label") != F.col("y.label")) & _may_link(F.col("x"), F.col("y"), percent, "reach"))
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -167,6 +175,14 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.filter(100 * shared >= SHARE * F.size(union)).select("a", "b")
 
 
+def confirmed_by_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose whole sets, which are at hand, are similar enough."""
+    side = lambda name: sets.select(F.col("id").alias(name), F.col("values").alias(f"{name}_values"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    shared = F.size(F.array_intersect("a_values", "b_values"))
+    return both.filter(100 * shared >= percent * (F.size("a_values") + F.size("b_values") - shared)).select("a", "b")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a staged table) whose whole sets are similar enough. Only the texts of classes in pairs are read into the joins."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,12 +234,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_colum
     named = sets.filter("n > 0 AND id IS NOT NULL")
     classes = staged(named.groupBy("sig").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.any_value("values").alias("values"), F.any_value("brief").alias("brief")), "classes")
 
-    lists = staged(prefix_lists(classes.select("id", "n", "values"), SHARE), "lists")
+    lists = staged(prefix_lists(classes.select("id", "n", "values"), SHARE), "lists").withColumns({"most": F.col("n"), "reach": F.col("n")})  # sketches give no bound for whole sets
     candidates = short_pairs(lists, percent)
     crowded = staged(lists.filter(F.col("m") > SHORT_LIST).select("id").distinct(), "crowded")
     dense = None
     if not crowded.isEmpty():
-        again = staged(prefix_lists(staged(whole_sets(only(rows, crowded, "id"), width).dropDuplicates(["id"]), "whole"), percent), "lists")
+        whole = staged(whole_sets(only(rows, crowded, "id"), width).dropDuplicates(["id"]), "whole")
+        again = staged(prefix_lists(whole, percent), "lists")
         dense = again.filter(F.col("m") > SHORT_LIST)
         candidates = candidates.union(short_pairs(again, percent)).union(pivot_pairs(dense, percent)).distinct()
     candidates = staged(estimated(candidates, classes), "candidates")
@@ -237,9 +254,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_colum
         links = staged(links.union(confirmed(rest, rows, width, percent)), "links")
         labels = components(links)
     if dense is not None:
-        crossing = staged(estimated(crossing_pairs(dense, labels, percent), classes).join(candidates, ["a", "b"], "left_anti"), "crossing")
-        if not crossing.isEmpty():
-            labels = components(links.union(confirmed(crossing, rows, width, percent)))
+        crossing = crossing_pairs(dense, labels, percent).join(candidates, ["a", "b"], "left_anti")
+        found = staged(confirmed_by_sets(estimated(crossing, classes), whole, percent), "found")
+        if not found.isEmpty():
+            labels = components(links.union(found))
 
     named_classes = with_label(classes.select("sig", "id"), labels, "id").select("sig", F.col("label").alias("component"))
     out = sets.select("id", "n", "sig").join(named_classes, "sig", "left")

@@ -126,12 +126,12 @@ def classified(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", te
     return joined.select("row", "evidence", "host_rate", "path_rate", _sigmoid(F.col("evidence") + _logit(others)).alias("p_low"))
 
 
-def quality_classifier(docs: DataFrame, labels: DataFrame, most: float = 0.9, id_column: str = "doc_id", **options) -> DataFrame:
+def quality_classifier(docs: DataFrame, labels: DataFrame, most: float = 0.8, id_column: str = "doc_id", **options) -> DataFrame:
     """Return id, evidence, host_rate, path_rate, p_low and kept (p_low is at most `most`) for every row; see `classified`."""
     rows = classified(docs, labels, id_column, **options)
     return rows.select(F.col(f"row.{id_column}").alias(id_column), "evidence", "host_rate", "path_rate", "p_low", (F.col("p_low") <= most).alias("kept"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, most: float = 0.9, **options) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, most: float = 0.8, **options) -> DataFrame:
     """The rows, with all their columns, whose probability of low quality is at most `most`."""
     return classified(docs, labels, **options).filter(F.col("p_low") <= most).select("row.*")

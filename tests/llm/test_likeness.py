@@ -111,7 +111,7 @@ def test_one_document_of_each_group_stays(spark, odd):
 
 
 def test_pairs_cross_components_only(spark):
-    lists = spark.createDataFrame([(1, i, 100, 20) for i in range(6)], "value long, id long, n long, m long")
+    lists = spark.createDataFrame([(1, i, 100, 100, 20) for i in range(6)] + [(1, 6, 100, 80, 20)], "value long, id long, n long, reach long, m long")
     labels = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (0, 0)], "node long, label long")
     got = {(x.a, x.b) for x in near_dedup.crossing_pairs(lists, labels, 85).collect()}
     assert got == {(a, b) for a in range(4) for b in (4, 5)} | {(4, 5)}
