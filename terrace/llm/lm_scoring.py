@@ -6,7 +6,8 @@ as in other n-gram models. All counts cover the whole corpus. A bigram seen CUT
 scores BACKOFF * count(b) / words. The first word of a document scores count / words.
 
 Bigrams are dealt into buckets by a hash of the pair. Tasks add up their own counts before the shuffle; a bucket's count table is
-then joined to the bucket's part of every document's bigrams, and the logs are summed per document. Very common pairs (again a fixed
+then joined to the bucket's part of every document's bigrams, and the logs are summed per document; documents travel in blocks, so that
+a bucket returns one row for a block and not one for each document in it. Very common pairs (again a fixed
 share, so a bounded number of them) are scored where the document is read, so no bucket is filled by one pair.
 """
 
@@ -17,6 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,7 @@ CUT = 2
 BACKOFF = 0.4
 SLICE_BYTES = 1 << 21
 BUCKET_PAIRS = 3_000_000
+BLOCK_PAIRS = 2_000_000
 REMEMBERED_WORDS = 1 << 18
 ROW_PAIRS = 100_000
 
@@ -171,11 +175,33 @@ def _flat(table: pa.Table, column: str) -> np.ndarray:
 
 
 def document_pairs(docs: DataFrame, model, buckets: int) -> DataFrame:
-    """From id and text: bucket, ids and pairs and counts within the documents; and, for each document in one of the rows of its slice
-    (done_*), its id, number of words and the log scores of its first word and very common pairs."""
+    """From id and text: bucket, block, docs, pairs and counts, of all pairs that aren't very common.
+
+    A block is a run of documents of one task; `docs` are places in it. One row of each block also holds, per document, its id, number
+    of words, and the log scores of its first word and very common pairs (ids, words, sums).
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        turn = 0
+        m, block = model.value, TaskContext.get().partitionId() << 24  # the same in a task that runs again
+        held: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            nonlocal block
+            offsets = np.cumsum([0, *(len(h[0]) for h in held)])
+            docs = np.concatenate([h[3] + at for h, at in zip(held, offsets[:-1], strict=True)])
+            pairs, counts = np.concatenate([h[4] for h in held]), np.concatenate([h[5] for h in held])
+            rows = [(b, docs[at].astype(np.int32), (pairs[at] // buckets).astype(np.int32), counts[at].astype(np.int32)) for b, at in _by_bucket(pairs, buckets)]
+            none = [[]] * len(rows)
+            ids = [i for h in held for i in h[0].to_pylist()]
+            words, sums = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            rows.append((block % buckets, [], [], []))
+            out = pa.RecordBatch.from_arrays([
+                pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), *(pa.array([r[i] for r in rows], pa.list_(pa.int32())) for i in (1, 2, 3)),
+                pa.array([*none, ids], pa.list_(pa.int64())), pa.array([*none, words], pa.list_(pa.int64())), pa.array([*none, sums], pa.list_(pa.float64())),
+            ], names=["bucket", "block", "docs", "pairs", "counts", "ids", "words", "sums"])
+            block += 1
+            held.clear()
+            return out
+
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
                 lengths, firsts, pairs, text = m.pairs(part.column("text").to_pylist())
@@ -191,21 +217,21 @@ def document_pairs(docs: DataFrame, model, buckets: int) -> DataFrame:
                     at = np.minimum(np.searchsorted(m.hot_pairs, pairs), len(m.hot_pairs) - 1)
                     hot = m.hot_pairs[at] == pairs
                     sums += np.bincount(text[hot], counts[hot] * m.scores(pairs[hot], m.hot_counts[at[hot]]), len(sums))
-                pairs, text, counts = pairs[~hot], text[~hot], counts[~hot]
-                ids = part.column("id")
-                rows = [(b, ids.take(pa.array(text[at])), (pairs[at] // buckets).astype(np.int32), counts[at].astype(np.int32)) for b, at in _by_bucket(pairs, buckets)]
-                none = ids.slice(0, 0)
-                rows.append((turn % buckets, none, np.empty(0, np.int32), np.empty(0, np.int32)))
-                turn += 1
-                blank = [[]] * (len(rows) - 1)
-                lists = lambda arrays, kind: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.concat_arrays(arrays).cast(kind))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([r[0] for r in rows], pa.int32()), lists([r[1] for r in rows], pa.int64()),
-                    pa.array([r[2] for r in rows], pa.list_(pa.int32())), pa.array([r[3] for r in rows], pa.list_(pa.int32())),
-                    lists([none] * len(blank) + [ids], pa.int64()), pa.array([*blank, lengths], pa.list_(pa.int64())), pa.array([*blank, sums], pa.list_(pa.float64())),
-                ], names=["bucket", "ids", "pairs", "counts", "done_ids", "done_words", "done_sums"])
-
-    return docs.mapInArrow(run, "bucket int, ids array<long>, pairs array<int>, counts array<int>, done_ids array<long>, done_words array<long>, done_sums array<double>")
+                held.append((part.column("id"), lengths, sums, text[~hot], pairs[~hot], counts[~hot]))
+                if sum(len(h[4]) for h in held) > BLOCK_PAIRS:
+                    yield flush()
+        if held:
+            yield flush()
+
+    lists = "docs array<int>, pairs array<int>, counts array<int>, ids array<long>, words array<long>, sums array<double>"
+    return docs.mapInArrow(run, f"bucket int, block long, {lists}")
+
+
+def add_blocks(table: pa.Table) -> pa.Table:
+    """One row per document of a block: what its own row holds, and the sums from all buckets."""
+    ids = table.column("ids").combine_chunks().flatten()
+    sums = _flat(table, "sums") + np.bincount(_flat(table, "docs"), _flat(table, "logs"), len(ids))
+    return pa.table({"id": ids, "n_words": table.column("words").combine_chunks().flatten(), "log_score": pa.array(sums)})
 
 
 def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -231,26 +257,26 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     sent = spark.sparkContext.broadcast(model)
 
     def join(table: pa.Table, known: pa.Table) -> pa.Table:
+        """The pairs' logs, summed per document in each row."""
         m = sent.value
-        ids = table.column("ids").combine_chunks().flatten()
-        done = {c: table.column(f"done_{c}").combine_chunks().flatten() for c in ("ids", "words", "sums")}
-        parts = [pa.table({"id": done["ids"], "n_words": done["words"], "log_score": done["sums"]})]
-        if len(ids):
-            pairs, n = _flat(table, "pairs").astype(np.int64), _flat(table, "counts")
-            found = np.zeros(len(pairs), np.int64)
-            if known.num_rows:
-                keys, values = _flat(known, "pairs").astype(np.int64), _flat(known, "counts")
-                order = np.argsort(keys)
-                keys, values = keys[order], values[order]
-                at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-                found = np.where(keys[at] == pairs, values[at], 0)
-            logs = n * m.scores(pairs * buckets + table.column("bucket")[0].as_py(), found)
-            codes = ids.dictionary_encode(null_encoding="encode")
-            sums = np.bincount(codes.indices.to_numpy(), logs, len(codes.dictionary))
-            parts.append(pa.table({"id": codes.dictionary, "n_words": pa.array(np.zeros(len(sums), np.int64)), "log_score": pa.array(sums)}))
-        return pa.concat_tables(parts)
+        pairs, n = _flat(table, "pairs").astype(np.int64), _flat(table, "counts")
+        found = np.zeros(len(pairs), np.int64)
+        if known.num_rows:
+            keys, values = _flat(known, "pairs").astype(np.int64), _flat(known, "counts")
+            order = np.argsort(keys)
+            keys, values = keys[order], values[order]
+            at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+            found = np.where(keys[at] == pairs, values[at], 0)
+        logs = n * m.scores(pairs * buckets + (table.column("bucket")[0].as_py() if table.num_rows else 0), found)
+        docs, ends, out = _flat(table, "docs"), np.cumsum([0, *pc.list_value_length(table.column("pairs")).to_pylist()]), []
+        for a, b in zip(ends[:-1], ends[1:], strict=True):
+            places, where = np.unique(docs[a:b], return_inverse=True)
+            out.append((places, np.bincount(where, logs[a:b], len(places))))
+        return pa.table({"block": table.column("block"), "docs": pa.array([p for p, _ in out], pa.list_(pa.int32())), "logs": pa.array([x for _, x in out], pa.list_(pa.float64())),
+                         **{c: table.column(c) for c in ("ids", "words", "sums")}})
 
     exploded = document_pairs(rows, sent, buckets)
-    partial = exploded.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(join, "id long, n_words long, log_score double")
-    scores = partial.groupBy("id").agg(F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score")).filter("n_words IS NOT NULL")
+    joined = exploded.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(join, "block long, docs array<int>, logs array<double>, ids array<long>, words array<long>, sums array<double>")
+    partial = joined.groupBy("block").applyInArrow(add_blocks, "id long, n_words long, log_score double")
+    scores = partial.groupBy("id").agg(F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score"))
     return scores.select(F.col("id").cast(id_type).alias(id_column), "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log"))
