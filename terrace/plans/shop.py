@@ -116,8 +116,10 @@ def dim_user_zip_init(w):
 
 @job
 def dim_user_zip(w):
-    """History table after today's changes. Values are masked once, when they enter."""
-    merged = op.scd2_merge(w["dim_user_zip_init"], masked_users(w["ods_user_info_inc"]), "id", USER_TRACKED, w.as_of)
+    """History table after today's changes, onto the stored history or the first load. Values are masked once, when they enter."""
+    history = w.stored("dim_user_zip")
+    history = w["dim_user_zip_init"] if history is None else history.drop("dt")
+    merged = op.scd2_merge(history, masked_users(w["ods_user_info_inc"]), "id", USER_TRACKED, w.as_of)
     return merged.withColumn("dt", F.col("end_date"))
 
 
@@ -192,8 +194,10 @@ def dwd_trade_trade_flow_acc_open(w):
 
 @job
 def dwd_trade_trade_flow_acc(w):
-    """Yesterday's open rows and today's orders, with today's milestones filled in."""
-    still_open = w["dwd_trade_trade_flow_acc_open"].where(F.col("dt") == OPEN_DATE).drop("dt")
+    """Yesterday's open rows (stored, or else rebuilt) and today's orders, with today's milestones filled in."""
+    before = w.stored("dwd_trade_trade_flow_acc")
+    before = w["dwd_trade_trade_flow_acc_open"] if before is None else before
+    still_open = before.where(F.col("dt") == OPEN_DATE).drop("dt")
     new = flow_rows(w["ods_order_info"].where(_day("create_time") == w.today))
     paid = w["ods_payment_info"].where(_day("callback_time") == w.today)
     log = w["ods_order_status_log"].where(_day("operate_time") == w.today)
@@ -319,7 +323,8 @@ def dws_user_user_login_td_init(w):
 @job
 def dws_user_user_login_td(w):
     today = w["dwd_user_login_inc"].where(F.col("dt") == w.today).groupBy("user_id").agg(F.count(F.lit(1)).alias("login_count_td"))
-    merged = op.to_date_merge_outer(w["dws_user_user_login_td_init"], today, "user_id", w.as_of, ["login_count_td"], "login_date_first", "login_date_last")
+    before = w.yesterday("dws_user_user_login_td")
+    merged = op.to_date_merge_outer(w["dws_user_user_login_td_init"] if before is None else before.drop("dt"), today, "user_id", w.as_of, ["login_count_td"], "login_date_first", "login_date_last")
     return _stamp(merged, w)
 
 
@@ -348,6 +353,9 @@ def _td_types(df):
 
 
 def _td_yesterday(w):
+    before = w.yesterday("dws_trade_user_order_td")
+    if before is not None:
+        return before.drop("dt")
     return _td_types(op.to_date_rebuild(_td_daily(w).where(F.col("dt") < w.today), "user_id", "dt", TD_MEASURES))
 
 

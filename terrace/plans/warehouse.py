@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.session import tune
-from terrace.sources import SCHEMAS, append_text_rows, load, write_partitions
+from terrace.sources import SCHEMAS, append_text_rows, load, replace_partitions, write_partitions
+from terrace.sources.writers import OPEN_DATE
 
 
 class Warehouse:
@@ -31,6 +32,10 @@ class Warehouse:
         whole = name.startswith("dim_") and not name.endswith("_zip") or name.endswith(("_nd", "_td"))
         return frame.where(F.col("dt") == F.lit(day)) if whole and "dt" in frame.columns else frame
 
+    def stored(self, name: str) -> DataFrame | None:
+        """All of a stored table, or None where the table is not stored."""
+        return self._stored.get(name)
+
     def yesterday(self, name: str) -> DataFrame | None:
         """The snapshot that a stored table holds for the day before, or None where the table is not stored."""
         return self._snapshot(name, self.days_ago(1)) if name in self._stored else None
@@ -52,14 +57,17 @@ class Warehouse:
         return (self.as_of - timedelta(days=n)).isoformat()
 
     def publish(self, name: str, root: str, fmt: str = "orc") -> None:
-        """Write a table: dimensions, facts and rollups by dt partition, reports as tab-delimited text.
+        """Compute today's rows of a table and write them: dimensions, facts and rollups by dt partition, reports as tab-delimited text.
 
-        A report's table keeps the rows of earlier days; publishing a day twice adds nothing.
+        A report's table keeps the rows of earlier days; publishing a day twice adds nothing. Histories and accumulating facts are
+        made from their own stored rows, so they are staged first, and the partition of open rows is emptied if none are left.
         """
+        frame = self._jobs[name](self)
         if name.startswith("ads_"):
-            append_text_rows(self[name].sparkSession, self[name], f"{root}/{name}")
+            append_text_rows(frame.sparkSession, frame, f"{root}/{name}")
+        elif name.endswith(("_zip", "_acc")):
+            replace_partitions(frame.sparkSession, frame, f"{root}/{name}", fmt=fmt, emptied=[OPEN_DATE])
         else:
-            frame = self[name]
             write_partitions(frame if "dt" in frame.columns else frame.withColumn("dt", F.lit(self.today)), f"{root}/{name}", fmt=fmt)
 
 

@@ -48,6 +48,32 @@ def test_closing_the_last_open_row_empties_its_partition(spark, tmp_path):
     assert values(spark.read.schema("id int, dt string").parquet(path)) == values(spark.createDataFrame([(1, "2024-01-02"), (3, "2024-01-01")], "id int, dt string"))
 
 
+def test_days_published_one_after_the_other_equal_one_plan(spark, sf_dir, tmp_path):
+    from datetime import date
+
+    from terrace.plans import raw_shop, shop
+    from terrace.plans.warehouse import Warehouse, derived_reader
+
+    root, names = str(tmp_path), ["dim_sku_full", "dws_trade_user_order_td", "dws_user_user_login_td", "dwd_trade_trade_flow_acc", "dim_user_zip", "ads_order_stats_by_tm"]
+    reader, reports = derived_reader(spark, sf_dir, raw_shop.RAW), []
+    for day in (date(1998, 6, 29), date(1998, 6, 30)):
+        alone = Warehouse(reader, shop.JOBS, day)
+        for name in names:
+            kept = {n: spark.read.orc(f"{root}/{n}", pathGlobFilter="*.orc") for n in names if not n.startswith("ads_") and (tmp_path / n).exists()}
+            Warehouse(reader, shop.JOBS, day, kept).publish(name, root)
+        for name in ("dws_trade_user_order_td", "dws_user_user_login_td"):
+            whole = alone[name]
+            got = spark.read.schema(whole.schema).orc(f"{root}/{name}").where(F.col("dt") == day.isoformat())
+            assert values(got.select(*whole.columns)) == values(whole), (name, day)
+        reports += values(alone["ads_order_stats_by_tm"])
+        report = alone["ads_order_stats_by_tm"]
+        assert sorted(values(read_text_table(spark, f"{root}/ads_order_stats_by_tm", report._jdf.schema().toDDL())), key=str) == sorted(reports, key=str)
+    history = spark.read.orc(f"{root}/dim_user_zip")
+    assert history.where("end_date = '9999-12-31'").groupBy("id").count().where("count > 1").isEmpty()
+    flow = spark.read.orc(f"{root}/dwd_trade_trade_flow_acc")
+    assert flow.groupBy("order_id").count().where("count > 1").isEmpty()
+
+
 def test_rows_are_counted_while_writing(spark, tmp_path):
     df, seen = observed(spark.range(7), "rows")
     df.write.parquet(str(tmp_path / "t"))
