@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terrace.session import work_dir
 
@@ -45,3 +46,14 @@ def byte_slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.Re
         held += size
     if batch.num_rows > start:
         yield batch.slice(start)
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with `value` computed once per row: a lambda's argument is a value, not an expression, so that no optimizer rule can
+    copy the expression behind it into a loop over words."""
+    return F.transform(F.array(value), use)[0]
+
+
+def indices(first: int, last: Column) -> Column:
+    """first..last, or nothing where last < first."""
+    return F.when(last >= first, F.sequence(F.lit(first), last)).otherwise(F.array().cast("array<int>"))

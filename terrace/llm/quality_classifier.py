@@ -15,36 +15,38 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import staged
+from terrace.llm.common import indices, once, staged
 
 GAPS = r"[\x20\x09-\x0D]+"
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1e6
 
-#: Measurements and the edges of their bins.
+#: Measurements (of m, the counts of a text) and the edges of their bins.
 FEATURES = {
-    "symbols": ("n_symbols / n", (0.005, 0.02, 0.05, 0.1, 0.3, 1.0)),
-    "capitals": ("n_capitals / n_chars", (0.005, 0.02, 0.05, 0.1, 0.3, 0.5)),
-    "word_length": ("n_chars / n", (2.5, 3.5, 4.25, 5.75, 7.0, 9.0, 12.0)),
-    "stutter": ("n_stutter / n", (0.005, 0.02, 0.1, 0.3, 0.6)),
-    "exclamations": ("n_exclamations / n", (0.005, 0.05, 0.3, 1.0)),
-    "variety": ("n_distinct / n", (0.1, 0.2, 0.35, 0.5, 0.65, 0.8)),
-    "digits": ("n_digits / n_chars", (0.01, 0.05, 0.2)),
+    "symbols": (lambda m: m["symbols"] / m["words"], (0.005, 0.02, 0.05, 0.1, 0.3, 1.0)),
+    "capitals": (lambda m: m["capitals"] / m["chars"], (0.005, 0.02, 0.05, 0.1, 0.3, 0.5)),
+    "word_length": (lambda m: m["chars"] / m["words"], (2.5, 3.5, 4.25, 5.75, 7.0, 9.0, 12.0)),
+    "stutter": (lambda m: m["stutter"] / m["words"], (0.005, 0.02, 0.1, 0.3, 0.6)),
+    "exclamations": (lambda m: m["exclamations"] / m["words"], (0.005, 0.05, 0.3, 1.0)),
+    "variety": (lambda m: m["distinct"] / m["words"], (0.1, 0.2, 0.35, 0.5, 0.65, 0.8)),
+    "digits": (lambda m: m["digits"] / m["chars"], (0.01, 0.05, 0.2)),
 }
 
 
-def binned(rows: DataFrame, text_column: str, keep: list[str]) -> DataFrame:
-    """The kept columns and one bin number per feature; a null text is measured as an empty one."""
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    words = rows.select(*keep, text.alias("_text"), F.array_remove(F.split(text, GAPS), "").alias("_words"))
-    last = F.size("_words") - 1
-    steps = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    count = lambda pattern: F.regexp_count("_text", F.lit(pattern))
-    measured = words.select(
-        *keep, F.greatest(F.size("_words"), F.lit(1)).alias("n"), F.greatest(F.char_length(F.array_join("_words", "")), F.lit(1)).alias("n_chars"),
-        count(r"[#*$%&|<>]").alias("n_symbols"), count(r"\p{Lu}").alias("n_capitals"), count("!").alias("n_exclamations"), count(r"\p{Nd}").alias("n_digits"),
-        F.size(F.array_distinct("_words")).alias("n_distinct"), F.size(F.filter(steps, lambda i: F.get(F.col("_words"), i) == F.get(F.col("_words"), i - 1))).alias("n_stutter"))
-    bins = [sum(((F.expr(ratio) >= edge).cast("int") for edge in edges), F.lit(0)).alias(f"_{name}") for name, (ratio, edges) in FEATURES.items()]
-    return measured.select(*keep, *bins)
+def bins_of(text: Column) -> Column:
+    """A struct of one bin number per feature; a null text is measured as an empty one."""
+    def counts(p: Column) -> Column:
+        words, count = p["words"], lambda pattern: F.regexp_count(p["text"], F.lit(pattern))
+        return F.struct(
+            F.greatest(F.size(words), F.lit(1)).alias("words"), F.greatest(F.char_length(F.array_join(words, "")), F.lit(1)).alias("chars"),
+            count(r"[#*$%&|<>]").alias("symbols"), count(r"\p{Lu}").alias("capitals"), count("!").alias("exclamations"), count(r"\p{Nd}").alias("digits"),
+            F.size(F.array_distinct(words)).alias("distinct"), F.size(F.filter(indices(1, F.size(words) - 1), lambda i: F.get(words, i) == F.get(words, i - 1))).alias("stutter"))
+
+    def bins(m: Column) -> Column:
+        number = lambda ratio, edges: once(ratio(m), lambda x: sum(((x >= edge).cast("int") for edge in edges), F.lit(0)))
+        return F.struct(*(number(*feature).alias(name) for name, feature in FEATURES.items()))
+
+    whole = F.coalesce(text, F.lit(""))
+    return once(once(F.struct(whole.alias("text"), F.array_remove(F.split(whole, GAPS), "").alias("words")), counts), bins)
 
 
 def fit_evidence(bins: DataFrame, labels: DataFrame, id_column: str, low: str) -> tuple[dict[str, list[float]], float]:
@@ -54,7 +56,7 @@ def fit_evidence(bins: DataFrame, labels: DataFrame, id_column: str, low: str) -
     """
     marks = labels.select(F.col(id_column), F.expr(low).alias("_low")).filter("_low IS NOT NULL")
     marked = bins.join(marks, id_column)
-    cells = F.array(*(F.struct(F.lit(name).alias("feature"), F.col(f"_{name}").alias("bin")) for name in FEATURES))
+    cells = F.array(*(F.struct(F.lit(name).alias("feature"), F.col(f"bins.{name}").alias("bin")) for name in FEATURES))
     table = marked.select("_low", F.explode(cells).alias("cell")).groupBy("cell.feature", "cell.bin").agg(F.count_if("_low").alias("low"), F.count_if(~F.col("_low")).alias("good"))
     counts = {(r["feature"], r["bin"]): (r["low"], r["good"]) for r in table.collect()}  # features times bins rows
     first = next(iter(FEATURES))
@@ -67,8 +69,8 @@ def fit_evidence(bins: DataFrame, labels: DataFrame, id_column: str, low: str) -
     return ratios, (n_low + 1) / (n_low + n_good + 2)
 
 
-def evidence(ratios: dict[str, list[float]]) -> Column:
-    return sum((F.get(F.lit(values), F.col(f"_{name}")) for name, values in ratios.items()), F.lit(0.0))
+def evidence(ratios: dict[str, list[float]], bins: Column) -> Column:
+    return once(bins, lambda b: sum((F.get(F.lit(values), b[name]) for name, values in ratios.items()), F.lit(0.0)))
 
 
 def _logit(p: Column) -> Column:
@@ -114,13 +116,13 @@ def classified(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", te
     empty one; clashing column names stay inside `row`.
     """
     names = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(host_column).alias("host"), F.col(path_column).alias("path"))
-    bins = staged(binned(names, "text", ["id", "host", "path"]), "bins")
+    bins = staged(names.select("id", "host", "path", bins_of(F.col("text")).alias("bins")), "bins")
     ratios, share = fit_evidence(bins, labels.withColumnRenamed(id_column, "id"), "id", low)
     prior = math.log(share / (1 - share))
-    first = _sigmoid(evidence(ratios) + prior)
+    first = _sigmoid(evidence(ratios, F.col("bins")) + prior)
     rates, strength = site_rates(bins.select("host", "path", first.alias("p")))
     rates = staged(rates, "rates").withColumnsRenamed({"host": "_host", "path": "_path"})
-    scored = binned(names, "text", ["row", "host", "path"]).select("row", "host", "path", evidence(ratios).alias("evidence"))
+    scored = names.select("row", "host", "path", evidence(ratios, bins_of(F.col("text"))).alias("evidence"))
     joined = scored.join(rates, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")), "left")
     others = (F.col("s") - _sigmoid(F.col("evidence") + prior) + strength * F.col("host_rate")) / (F.col("n") - 1 + strength)
     return joined.select("row", "evidence", "host_rate", "path_rate", _sigmoid(F.col("evidence") + _logit(others)).alias("p_low"))
@@ -134,4 +136,5 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, most: float = 0.8, id
 
 def keep_good(docs: DataFrame, labels: DataFrame, most: float = 0.8, **options) -> DataFrame:
     """The rows, with all their columns, whose probability of low quality is at most `most`."""
-    return classified(docs, labels, **options).filter(F.col("p_low") <= most).select("row.*")
+    good = F.coalesce("p_low", F.lit(0.0)) <= most  # of a value that cannot be null, so that no null check is made for it below the join
+    return classified(docs, labels, **options).filter(good).select("row.*")

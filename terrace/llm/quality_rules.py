@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.llm.common import indices, once
+
 GAPS = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 
@@ -35,16 +37,6 @@ POLICIES = {
 }
 
 
-def _once(value: Column, use) -> Column:
-    """use(value) with `value` computed once per row: a lambda's argument is a value, not an expression."""
-    return F.transform(F.array(value), use)[0]
-
-
-def _indices(first: int, last: Column) -> Column:
-    """first..last, or nothing where last < first."""
-    return F.when(last >= first, F.sequence(F.lit(first), last)).otherwise(F.array().cast("array<int>"))
-
-
 def _repeated_words(words: Column, n: Column) -> Column:
     """Words within windows whose text occurs twice or more: sort the windows, take those equal to a neighbour, unite their ranges."""
     windows = F.sort_array(F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.struct(F.array_join(F.slice(words, i, WINDOW), " ").alias("text"), i.alias("at"))))
@@ -55,7 +47,7 @@ def _repeated_words(words: Column, n: Column) -> Column:
         starts = F.transform(again, lambda i: F.get(found, i)["at"])
         return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda at: F.sequence(at, at + (WINDOW - 1))))))
 
-    return _once(windows, covered)
+    return once(windows, covered)
 
 
 def _measures(text: Column) -> Column:
@@ -68,21 +60,21 @@ def _measures(text: Column) -> Column:
     def measure(p: Column) -> Column:
         words, n, whole = p["words"], F.size(p["words"]), p["text"]
         # Different hashes prove that no window is repeated; only the other documents compare the windows themselves.
-        hashes = F.transform(_indices(0, n - WINDOW), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(WINDOW))))
+        hashes = F.transform(indices(0, n - WINDOW), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(WINDOW))))
         values = {
             "n_words": n,
             "word_chars": F.char_length(F.array_join(words, "")),
             "n_symbols": F.regexp_count(whole, F.lit(r"[#*$%&|<>]")),
             "n_lines": F.size(p["lines"]),
             "n_dup_lines": F.size(p["lines"]) - F.size(F.array_distinct(p["lines"])),
-            "n_repeat_words": _once(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_repeated_words(words, n))),
+            "n_repeat_words": once(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_repeated_words(words, n))),
             "n_capitals": F.regexp_count(whole, F.lit(r"\p{Lu}")),
             "n_exclamations": F.regexp_count(whole, F.lit("!")),
-            "n_stutter": F.size(F.filter(_indices(1, n - 1), lambda i: F.get(words, i) == F.get(words, i - 1))),
+            "n_stutter": F.size(F.filter(indices(1, n - 1), lambda i: F.get(words, i) == F.get(words, i - 1))),
         }
         return F.struct(*(value.cast("long").alias(name) for name, value in values.items()))
 
-    return _once(parts, measure)
+    return once(parts, measure)
 
 
 def _failures(measures: Column) -> Column:
@@ -93,7 +85,7 @@ def _failures(measures: Column) -> Column:
             bits = bits.bitwiseOR(F.when(condition(m), BITS[name]).otherwise(0))
         return F.struct(*(m[name].alias(name) for name in MEASURES), bits.alias("failure_bits"))
 
-    return _once(measures, add)
+    return once(measures, add)
 
 
 def ledger(docs: DataFrame, text_column: str = "text") -> DataFrame:
