@@ -224,8 +224,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_colum
 
     Documents are linked if 100 * shared >= percent * united shingles; component_id is the smallest id that can be reached, and kept
     says that it is the row's own. A null text, or one without words, has 0 shingles and no link. Rows of one id and text are one
-    document, so that all of them are kept or none. A row without an id links others but is no component's name; where nothing else
-    is linked with it, component_id is null and kept true. Ids are whole numbers. An empty table gives an empty one; other columns
+    document, so that all of them are kept or none. A row without an id links nothing: it is in the component of a document with the
+    same set, and where there is none its component_id is null and kept true. Ids are whole numbers. An empty table gives an empty one; other columns
     are ignored.
     """
     id_type = docs.schema[id_column].dataType
