@@ -2,8 +2,8 @@
 
 Words are lower-cased (A-Z) runs of other characters than white space. The vocabulary is every word with at least a
 1 / 2**SHARE_BITS share of all words, which is at most 2**SHARE_BITS words whatever the corpus; the others count as one unknown word,
-as in other n-gram models. All counts cover the whole corpus. A bigram seen CUT times or more scores count(a b) / count(a); another one
-scores BACKOFF * count(b) / words. The first word of a document scores count / words.
+as in other n-gram models. All counts cover the whole corpus. A bigram seen CUT times or more, which is every one
+of the corpus, scores count(a b) / count(a); one that isn't counted scores BACKOFF * count(b) / words. The first word of a document scores count / words.
 
 Bigrams are dealt into buckets by a hash of the pair. Tasks add up their own counts before the shuffle; a bucket's count table is
 then joined to the bucket's part of every document's bigrams, and the logs are summed per document; documents travel in blocks, so that
@@ -27,7 +27,7 @@ from terrace.llm.common import byte_slices, staged
 
 SHARE_BITS = 17
 HOT_BITS = 16
-CUT = 2
+CUT = 1
 BACKOFF = 0.4
 SLICE_BYTES = 1 << 21
 BUCKET_PAIRS = 3_000_000

@@ -83,3 +83,9 @@ def test_rows_of_one_id_are_scored_together(spark):
     got = {r.doc_id: r for r in lm_scoring.lm_scores(docs).collect()}
     assert got[1].n_words == 6 and got[2].n_words == 0 and got[3].log_score == 0 and got[2].mean_log is None
     assert docs.agg(F.count("*")).first()[0] == 4
+
+
+def test_a_bigram_seen_once_keeps_its_count(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a d")], "doc_id long, text string")
+    got = {r.doc_id: r.log_score for r in lm_scoring.lm_scores(docs).collect()}
+    assert math.isclose(got[1], math.log(2 / 5) + math.log(1 / 2) + math.log(1 / 1)) and math.isclose(got[2], math.log(2 / 5) + math.log(1 / 2))
