@@ -1,14 +1,16 @@
-"""Stupid-backoff scores from n-gram counts of the corpus itself.
+"""Bigram scores from the counts of the corpus itself, with every word and every count.
 
-Words are lower-cased (A-Z) runs of other characters than white space. The vocabulary is every word with at least a
-1 / 2**SHARE_BITS share of all words, which is at most 2**SHARE_BITS words whatever the corpus; the others count as one unknown word,
-as in other n-gram models. All counts cover the whole corpus. A bigram seen CUT times or more, which is every one
-of the corpus, scores count(a b) / count(a); one that isn't counted scores BACKOFF * count(b) / words. The first word of a document scores count / words.
+Words are lower-cased (A-Z) runs of other characters than white space, known by a 64-bit hash of the whole word; bigrams by a 64-bit
+hash of both words. A bigram seen CUT times or more scores count(a b) / count(a). Stupid backoff would give one that isn't counted
+BACKOFF * count(b) / words; but all bigrams of the documents, their own included, are counted, so none of them backs off. The first
+word of a document scores count / words.
 
-Bigrams are dealt into buckets by a hash of the pair. Tasks add up their own counts before the shuffle; a bucket's count table is
-then joined to the bucket's part of every document's bigrams, and the logs are summed per document; documents travel in blocks, so that
-a bucket returns one row for a block and not one for each document in it. Very common pairs (again a fixed
-share, so a bounded number of them) are scored where the document is read, so no bucket is filled by one pair.
+All n-grams of the documents are dealt into buckets by their hash, as entries of a document, the n-gram, how often it is there, and
+how often its log counts for the score. A bucket has all entries of its n-grams, so it adds up their counts and returns the logs, summed per document;
+documents travel in blocks, so that it returns one row for a block and not one for each document in it. So that no bucket is filled by one n-gram,
+
+* the counts of very common words (a fixed share, so a bounded number of them) are sent to all tasks;
+* a bigram that many documents of a block have travels once for the block; its log comes back to the block, which holds its documents.
 """
 
 from __future__ import annotations
@@ -24,16 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.common import byte_slices, staged
+from terrace.llm.near_dedup import _mix
 
-SHARE_BITS = 17
-HOT_BITS = 16
+#: For a model with a limited vocabulary: words below a 1 / 2**SHARE_BITS share of all count as one unknown word. None: every word counts.
+SHARE_BITS: int | None = None
+COMMON_BITS = 17
+HOT_BITS = 12
 CUT = 1
 BACKOFF = 0.4
 SLICE_BYTES = 1 << 21
-BUCKET_PAIRS = 3_000_000
-BLOCK_PAIRS = 2_000_000
+BUCKET_ENTRIES = 3_000_000
+BLOCK_WORDS = 2_000_000
+BLOCK_DOCS = 1 << 15  # places in a block are 16-bit numbers
 REMEMBERED_WORDS = 1 << 18
-ROW_PAIRS = 100_000
+UNKNOWN = 0
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -68,169 +74,182 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """What tasks need besides the bucketed counts: vocabulary, counts of words, and counts of very common pairs. Of bounded size."""
+    """The counts of very common words, and with a limited vocabulary that of the unknown word. Of bounded size."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, limited: bool):
+        if limited:
+            words, counts = np.append(words, UNKNOWN), np.append(counts, total - counts.sum())
         order = np.argsort(words)
-        self.words, self.total = words[order], total
-        self.counts = np.concatenate([[total - counts.sum()], counts[order]]).astype(np.float64)  # 0 is the unknown word
-        self.size = len(self.counts)
-        self.hot_pairs, self.hot_counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.words, self.counts, self.total, self.limited = words[order], counts[order], total, limited
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.hashes, self.common = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}}
+        return self.__dict__ | {"known": {}, "hashes": self.hashes[:0], "common": self.common[:0]}
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of each word, and its count if it is very common, else 0."""
         new = set(words).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known.clear()
+            self.forget()
             new = set(words)
         if new:
             order = list(new)
-            hashes = word_hash(order)
-            at = np.minimum(np.searchsorted(self.words, hashes), max(len(self.words) - 1, 0))
-            found = np.where(self.words[at] == hashes, at + 1, 0) if len(self.words) else np.zeros(len(order), np.int64)
-            self.known.update(zip(order, found.tolist(), strict=True))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
-    def pairs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Per text its number of words and first word (-1 if none); then all pairs, and the text of each."""
-        cut = [words_of(text) for text in texts]
-        lengths = np.array([len(w) for w in cut], np.int64)
-        ids = self.ids([w for ws in cut for w in ws])
-        text = np.repeat(np.arange(len(texts)), lengths)
-        within = text[1:] == text[:-1]
-        starts = np.cumsum(lengths) - lengths
-        firsts = np.where(lengths > 0, ids[np.minimum(starts, max(len(ids) - 1, 0))], -1) if len(ids) else np.full(len(texts), -1)
-        return lengths, firsts, (ids[:-1] * self.size + ids[1:])[within], text[1:][within]
+            hashes, counts = word_hash(order), np.zeros(len(order), np.int64)
+            if len(self.words):
+                at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+                if self.limited:
+                    at = np.where(self.words[at] == hashes, at, np.searchsorted(self.words, UNKNOWN))
+                    hashes = self.words[at]
+                counts = np.where(self.words[at] == hashes, self.counts[at], 0)
+            self.known.update(zip(order, range(len(self.known), len(self.known) + len(order)), strict=True))
+            self.hashes, self.common = np.append(self.hashes, hashes), np.append(self.common, counts)
+        ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return self.hashes[ids], self.common[ids]
 
-    def unigram(self, ids: np.ndarray) -> np.ndarray:
-        return np.log(self.counts[ids] / self.total)
-
-    def scores(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Log scores of pairs from their counts; a count below CUT backs off."""
-        seen = counts >= CUT
-        ratio = np.where(seen, counts / self.counts[pairs // self.size], BACKOFF * self.counts[pairs % self.size] / self.total)
-        return np.log(ratio)
 
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    values = table.column(column).combine_chunks()
+    values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
+    return values.flatten().to_numpy(zero_copy_only=False)
 
-def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, at = np.unique(keys, return_inverse=True)
-    return found, np.bincount(at, values, len(found)).astype(np.int64)
 
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(new)
 
-def _by_bucket(pairs: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Bucket and the positions of its pairs, in their order."""
-    bucket = pairs % buckets
-    order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in range(buckets):
-        if edges[b + 1] > edges[b]:
-            yield b, order[edges[b]:edges[b + 1]]
 
+def _entries(keys: np.ndarray, docs: np.ndarray, weights: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Occurrences, in the order of their documents, to entries: sorted keys, docs, counts, summed weights, and `common` of the key."""
+    order = np.argsort(keys, kind="stable")
+    keys, docs = keys[order], docs[order]
+    first = _runs(keys, docs)
+    weights = np.add.reduceat(weights[order], first) if len(first) else weights
+    return keys[first], docs[first], np.diff(np.append(first, len(keys))), weights, common[order[first]]
 
-def pair_counts(docs: DataFrame, model, buckets: int) -> DataFrame:
-    """From text: bucket, pairs (pair number divided by the number of buckets) and counts, of pairs seen CUT times or more."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            return _summed(np.concatenate([p for p, _ in held]), np.concatenate([n for _, n in held]))
+def _by_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The edges of the buckets among sorted keys: a bucket is a range of the keys' upper halves."""
+    return np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            pairs, counts = merged()
-            held.clear()
-            rows = [(b, pairs[at] // buckets, counts[at]) for b, at in _by_bucket(pairs, buckets)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.list_(pa.int64()))],
-                                             names=["bucket", "pairs", "counts"])
 
-        for batch in batches:
-            for part in byte_slices(batch, "text", SLICE_BYTES):
-                pairs = model.value.pairs(part.column("text").to_pylist())[2]
-                held.append(np.unique(pairs, return_counts=True))
-                if sum(len(p) for p, _ in held) > 2 * BUCKET_PAIRS:
-                    held[:] = [merged()]
-                    if len(held[0][0]) > BUCKET_PAIRS:
-                        yield from flush()
-        if held:
-            yield from flush()
-
-    def add_up(table: pa.Table) -> pa.Table:
-        pairs, counts = _summed(_flat(table, "pairs"), _flat(table, "counts"))
-        pairs, counts = pairs[counts >= CUT], counts[counts >= CUT]
-        cuts = range(0, len(pairs), ROW_PAIRS)
-        return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(cuts), pa.int32()),
-                         "pairs": pa.array([pairs[i:i + ROW_PAIRS].astype(np.int32) for i in cuts], pa.list_(pa.int32())),
-                         "counts": pa.array([counts[i:i + ROW_PAIRS] for i in cuts], pa.list_(pa.int64()))})
-
-    schema = "bucket int, pairs array<int>, counts array<long>"
-    return docs.select("text").mapInArrow(count, schema).groupBy("bucket").applyInArrow(add_up, schema)
+class Block:
+    """Documents of one task, as many as make BLOCK_WORDS words."""
 
+    def __init__(self):
+        self.ids: list = []
+        self.lengths: list[np.ndarray] = []
+        self.sums: list[np.ndarray] = []
+        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.words: list[tuple[np.ndarray, ...]] = []
+        self.n_docs = self.n_words = 0
 
-def _flat(table: pa.Table, column: str) -> np.ndarray:
-    values = table.column(column).combine_chunks()
-    values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
-    return values.flatten().to_numpy(zero_copy_only=False)
-
-
-def document_pairs(docs: DataFrame, model, buckets: int) -> DataFrame:
-    """From id and text: bucket, block, docs, pairs and counts, of all pairs that aren't very common.
-
-    A block is a run of documents of one task; `docs` are places in it. One row of each block also holds, per document, its id, number
-    of words, and the log scores of its first word and very common pairs (ids, words, sums).
-    """
+    def add(self, model: Model, ids: list, texts: list[str | None]) -> None:
+        cut = [words_of(text) for text in texts]
+        lengths = np.array([len(w) for w in cut], np.int64)
+        hashes, common = model.look_up([w for ws in cut for w in ws])
+        doc = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+        new = np.ones(len(doc) + 1, bool)  # whether a document starts here
+        new[1:-1] = doc[1:] != doc[:-1]
+        weights = new[:-1].astype(np.int64) - ~new[1:]  # the first word's log counts; that of a word before another is taken off
+        self.sums.append(np.where(lengths > 0, -np.log(max(model.total, 1)), 0.0))
+        unsigned = hashes.view(np.uint64)
+        keys, inside = _mix(_mix(unsigned[:-1]) + unsigned[1:]), ~new[1:-1]
+        doc += np.int32(self.n_docs)
+        self.pairs.append((keys[inside], doc[1:][inside]))
+        self.words.append((unsigned, doc, weights, common))
+        self.ids += ids
+        self.lengths.append(lengths)
+        self.n_docs += len(texts)
+        self.n_words += len(doc)
+
+    def rows(self, number: int, buckets: int) -> pa.RecordBatch:
+        keys, docs = (np.concatenate(x) for x in zip(*self.pairs, strict=True))
+        keys, docs, counts, *_ = _entries(keys, docs, *[np.empty(len(keys), np.int8)] * 2)
+        first = _runs(keys)
+        holders = np.diff(np.append(first, len(keys)))
+        hot_run = holders > max(len(keys) >> HOT_BITS, 3)
+        hot = np.repeat(hot_run, holders)
+        slots = np.repeat(np.cumsum(hot_run) - 1, holders)[hot]
+        hot_keys, hot_counts = keys[first[hot_run]], np.bincount(slots, counts[hot], hot_run.sum()).astype(np.int32)
+        own = docs[hot], slots, counts[hot]
+        pairs = keys[~hot], docs[~hot], counts[~hot], counts[~hot]
+        words = _entries(*(np.concatenate(x) for x in zip(*self.words, strict=True)))
+        common = words[4] > 0
+        sums = np.concatenate(self.sums) + np.bincount(words[1][common], np.log(words[4][common]) * words[3][common], self.n_docs)
+        words = [x[~common] for x in words]
+        edges = [_by_bucket(x, buckets) for x in (pairs[0], words[0], hot_keys)]
+        rows, slot = [], np.arange(len(hot_keys), dtype=np.int32)
+        for b in range(buckets):
+            p, w, h = (slice(e[b], e[b + 1]) for e in edges)
+            if p.start < p.stop or w.start < w.stop or h.start < h.stop:
+                rows.append((b, np.concatenate([pairs[0][p], words[0][w], hot_keys[h]]).view(np.int64), np.concatenate([pairs[2][p], words[2][w], hot_counts[h]]).astype(np.int32),
+                             np.concatenate([pairs[1][p], words[1][w]]).astype(np.int16), np.concatenate([pairs[3][p], words[3][w]]).astype(np.int32), slot[h]))
+        none = [[]] * len(rows)
+        rows.append((number % buckets, *[[]] * 5))
+        own = [self.ids, np.concatenate(self.lengths), sums, *own]
+        kinds = [pa.int64(), pa.int32(), pa.int16(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays([
+            pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()),
+            *(pa.array([r[i + 1] for r in rows], pa.list_(kind)) for i, kind in enumerate(kinds)),
+            *(pa.array([*none, x], pa.list_(kind)) for x, kind in zip(own, OWN.values(), strict=True)),
+        ], names=["bucket", "block", "keys", "counts", "docs", "weights", "slots", *OWN])
+
+
+#: What one row of each block holds: per document its id, number of words and the logs known so far; and per document and common bigram the place of
+#: both in the block and how often it is there.
+OWN = {"ids": pa.int64(), "words": pa.int64(), "sums": pa.float64(), "hot_docs": pa.int32(), "hot_slots": pa.int32(), "hot_counts": pa.int32()}
+OWN_SCHEMA = "ids array<long>, words array<long>, sums array<double>, hot_docs array<int>, hot_slots array<int>, hot_counts array<int>"
+
+
+def document_entries(docs: DataFrame, model, buckets: int) -> DataFrame:
+    """From id and text: bucket, block, keys, counts, then docs and weights of the first keys and slots (places of common bigrams) of
+    the others. One row of each block also holds what is in OWN."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, block = model.value, TaskContext.get().partitionId() << 24  # the same in a task that runs again
-        held: list[tuple] = []
-
-        def flush() -> pa.RecordBatch:
-            nonlocal block
-            offsets = np.cumsum([0, *(len(h[0]) for h in held)])
-            docs = np.concatenate([h[3] + at for h, at in zip(held, offsets[:-1], strict=True)])
-            pairs, counts = np.concatenate([h[4] for h in held]), np.concatenate([h[5] for h in held])
-            rows = [(b, docs[at].astype(np.int32), (pairs[at] // buckets).astype(np.int32), counts[at].astype(np.int32)) for b, at in _by_bucket(pairs, buckets)]
-            none = [[]] * len(rows)
-            ids = [i for h in held for i in h[0].to_pylist()]
-            words, sums = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
-            rows.append((block % buckets, [], [], []))
-            out = pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), *(pa.array([r[i] for r in rows], pa.list_(pa.int32())) for i in (1, 2, 3)),
-                pa.array([*none, ids], pa.list_(pa.int64())), pa.array([*none, words], pa.list_(pa.int64())), pa.array([*none, sums], pa.list_(pa.float64())),
-            ], names=["bucket", "block", "docs", "pairs", "counts", "ids", "words", "sums"])
-            block += 1
-            held.clear()
-            return out
-
+        number, block = TaskContext.get().partitionId() << 24, Block()  # the same in a task that runs again
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
-                lengths, firsts, pairs, text = m.pairs(part.column("text").to_pylist())
-                order = np.lexsort((pairs, text))
-                pairs, text = pairs[order], text[order]
-                new = np.ones(len(pairs), bool)
-                new[1:] = (pairs[1:] != pairs[:-1]) | (text[1:] != text[:-1])
-                first = np.flatnonzero(new)
-                pairs, text, counts = pairs[first], text[first], np.diff(np.append(first, len(pairs)))
-                hot = np.zeros(len(pairs), bool)
-                sums = np.where(firsts >= 0, m.unigram(np.maximum(firsts, 0)), 0.0) if m.total else np.zeros(len(firsts))
-                if len(m.hot_pairs):
-                    at = np.minimum(np.searchsorted(m.hot_pairs, pairs), len(m.hot_pairs) - 1)
-                    hot = m.hot_pairs[at] == pairs
-                    sums += np.bincount(text[hot], counts[hot] * m.scores(pairs[hot], m.hot_counts[at[hot]]), len(sums))
-                held.append((part.column("id"), lengths, sums, text[~hot], pairs[~hot], counts[~hot]))
-                if sum(len(h[4]) for h in held) > BLOCK_PAIRS:
-                    yield flush()
-        if held:
-            yield flush()
-
-    lists = "docs array<int>, pairs array<int>, counts array<int>, ids array<long>, words array<long>, sums array<double>"
-    return docs.mapInArrow(run, f"bucket int, block long, {lists}")
+                for start in range(0, part.num_rows, BLOCK_DOCS):
+                    some = part.slice(start, BLOCK_DOCS)
+                    if block.n_docs and (block.n_words > BLOCK_WORDS or block.n_docs + some.num_rows > BLOCK_DOCS):
+                        yield block.rows(number, buckets)
+                        number, block = number + 1, Block()
+                    block.add(model.value, some.column("id").to_pylist(), some.column("text").to_pylist())
+        if block.n_docs:
+            yield block.rows(number, buckets)
+
+    return docs.mapInArrow(run, f"bucket int, block long, keys array<long>, counts array<int>, docs array<short>, weights array<int>, slots array<int>, {OWN_SCHEMA}")
+
+
+def bucket_logs(table: pa.Table) -> pa.Table:
+    """The logs of the counts over all of a bucket's rows: summed per document in each row, and those of the row's common bigrams."""
+    found, at = np.unique(_flat(table, "keys"), return_inverse=True)
+    logs = np.log(np.bincount(at, _flat(table, "counts"), len(found)))[at]
+    docs, weights = _flat(table, "docs"), _flat(table, "weights")
+    ends = lambda column: np.cumsum([0, *pc.list_value_length(table.column(column)).to_pylist()])
+    k, d, sums, common = ends("keys"), ends("docs"), [], []
+    for i in range(table.num_rows):
+        n = d[i + 1] - d[i]
+        mine = logs[k[i]:k[i + 1]]
+        places, where = np.unique(docs[d[i]:d[i + 1]], return_inverse=True)
+        sums.append((places, np.bincount(where, mine[:n] * weights[d[i]:d[i + 1]], len(places))))
+        common.append(mine[n:])
+    return pa.table({"block": table.column("block"), "docs": pa.array([x for x, _ in sums], pa.list_(pa.int16())), "logs": pa.array([x for _, x in sums], pa.list_(pa.float64())),
+                     "slots": table.column("slots"), "slot_logs": pa.array(common, pa.list_(pa.float64())), **{c: table.column(c) for c in OWN}})
 
 
 def add_blocks(table: pa.Table) -> pa.Table:
-    """One row per document of a block: what its own row holds, and the sums from all buckets."""
+    """One row per document of a block: what its own row holds, and the logs from all buckets."""
     ids = table.column("ids").combine_chunks().flatten()
+    slots = np.zeros(len(_flat(table, "slots")))
+    slots[_flat(table, "slots")] = _flat(table, "slot_logs")
     sums = _flat(table, "sums") + np.bincount(_flat(table, "docs"), _flat(table, "logs"), len(ids))
+    sums += np.bincount(_flat(table, "hot_docs"), _flat(table, "hot_counts") * slots[_flat(table, "hot_slots")], len(ids))
     return pa.table({"id": ids, "n_words": table.column("words").combine_chunks().flatten(), "log_score": pa.array(sums)})
 
 
@@ -246,37 +265,12 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     counted = staged(word_counts(rows), "words")
     total = counted.agg(F.sum("n")).head()[0] or 0
-    common = counted.filter(F.col("n") * F.lit(1 << SHARE_BITS) >= F.lit(total)).toPandas()  # at most 2 ** SHARE_BITS rows
-    model = Model(common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64), total)
-    buckets = max(9, -(-total // BUCKET_PAIRS), int(spark.conf.get("spark.sql.shuffle.partitions"))) | 1
-    sent = spark.sparkContext.broadcast(model)
-    counts = staged(pair_counts(rows, sent, buckets), "pairs")
-    hot = counts.select("bucket", F.explode(F.filter(F.arrays_zip("pairs", "counts"), lambda x: x["counts"] * (1 << HOT_BITS) >= total)).alias("x"))
-    hot = hot.select((F.col("x.pairs").cast("long") * buckets + F.col("bucket")).alias("pair"), "x.counts").orderBy("pair").toPandas()  # at most 2 ** HOT_BITS rows
-    model.hot_pairs, model.hot_counts = hot["pair"].to_numpy(np.int64), hot["counts"].to_numpy(np.int64)
-    sent = spark.sparkContext.broadcast(model)
-
-    def join(table: pa.Table, known: pa.Table) -> pa.Table:
-        """The pairs' logs, summed per document in each row."""
-        m = sent.value
-        pairs, n = _flat(table, "pairs").astype(np.int64), _flat(table, "counts")
-        found = np.zeros(len(pairs), np.int64)
-        if known.num_rows:
-            keys, values = _flat(known, "pairs").astype(np.int64), _flat(known, "counts")
-            order = np.argsort(keys)
-            keys, values = keys[order], values[order]
-            at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-            found = np.where(keys[at] == pairs, values[at], 0)
-        logs = n * m.scores(pairs * buckets + (table.column("bucket")[0].as_py() if table.num_rows else 0), found)
-        docs, ends, out = _flat(table, "docs"), np.cumsum([0, *pc.list_value_length(table.column("pairs")).to_pylist()]), []
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
-            places, where = np.unique(docs[a:b], return_inverse=True)
-            out.append((places, np.bincount(where, logs[a:b], len(places))))
-        return pa.table({"block": table.column("block"), "docs": pa.array([p for p, _ in out], pa.list_(pa.int32())), "logs": pa.array([x for _, x in out], pa.list_(pa.float64())),
-                         **{c: table.column(c) for c in ("ids", "words", "sums")}})
-
-    exploded = document_pairs(rows, sent, buckets)
-    joined = exploded.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(join, "block long, docs array<int>, logs array<double>, ids array<long>, words array<long>, sums array<double>")
-    partial = joined.groupBy("block").applyInArrow(add_blocks, "id long, n_words long, log_score double")
+    bits = COMMON_BITS if SHARE_BITS is None else SHARE_BITS
+    common = counted.filter(F.col("n") * F.lit(1 << bits) >= F.lit(total)).toPandas()  # at most 2 ** bits rows
+    model = Model(common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64), total, SHARE_BITS is not None)
+    buckets = max(9, -(-3 * total // (2 * BUCKET_ENTRIES)), int(spark.conf.get("spark.sql.shuffle.partitions"))) | 1
+    entries = document_entries(rows, spark.sparkContext.broadcast(model), buckets)
+    logs = entries.groupBy("bucket").applyInArrow(bucket_logs, f"block long, docs array<short>, logs array<double>, slots array<int>, slot_logs array<double>, {OWN_SCHEMA}")
+    partial = logs.groupBy("block").applyInArrow(add_blocks, "id long, n_words long, log_score double")
     scores = partial.groupBy("id").agg(F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score"))
     return scores.select(F.col("id").cast(id_type).alias(id_column), "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log"))

@@ -89,3 +89,15 @@ def test_a_bigram_seen_once_keeps_its_count(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "a d")], "doc_id long, text string")
     got = {r.doc_id: r.log_score for r in lm_scoring.lm_scores(docs).collect()}
     assert math.isclose(got[1], math.log(2 / 5) + math.log(1 / 2) + math.log(1 / 1)) and math.isclose(got[2], math.log(2 / 5) + math.log(1 / 2))
+
+
+def test_rare_words_of_a_large_corpus_keep_their_own_counts(spark, monkeypatch):
+    """More than 2**17 words in all, so that a word seen once has less than a 2**-17 share."""
+    texts = {1: "f " * 150_000, 2: "u v", 3: "x y", 4: "u z", 5: "c d", **{i: "c d" for i in range(6, 12)}}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for block in (lm_scoring.BLOCK_WORDS, 1):
+        monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", block)
+        got = {r.doc_id: r.log_score for r in lm_scoring.lm_scores(docs).collect()}
+        total = 150_000 + 2 * 10
+        assert math.isclose(got[2], math.log(2 / total) + math.log(1 / 2)) and math.isclose(got[3], math.log(1 / total)) and math.isclose(got[5], math.log(7 / total))
+        assert math.isclose(got[1], math.log(150_000 / total) + 149_999 * math.log(149_999 / 150_000))
