@@ -78,7 +78,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """From id and text: id, n (size of the set), sig (128-bit digest of the set, null if empty), values (sketch), brief (its upper halves)."""
+    """From id and text: id, n (size of the set), sig (128-bit digest of the set, null if empty), values (sketch), brief (its upper 31 bits, in the same order)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -87,7 +87,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 sets = [shingle_set(text, width) for text in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([
                     part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([s[:K] for s in sets], pa.list_(pa.int64())), pa.array([(s[:K] >> 31).astype(np.int32) for s in sets], pa.list_(pa.int32())),
+                    pa.array([s[:K] for s in sets], pa.list_(pa.int64())), pa.array([(s[:K] >> 32).astype(np.int32) for s in sets], pa.list_(pa.int32())),
                 ], names=["id", "n", "sig", "values", "brief"])
 
     return docs.mapInArrow(run, "id long, n long, sig binary, values array<long>, brief array<int>")

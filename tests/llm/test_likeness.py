@@ -115,3 +115,13 @@ def test_pairs_cross_components_only(spark):
     labels = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (0, 0)], "node long, label long")
     got = {(x.a, x.b) for x in near_dedup.crossing_pairs(lists, labels, 85).collect()}
     assert got == {(a, b) for a in range(4) for b in (4, 5)} | {(4, 5)}
+
+
+@pytest.mark.parametrize("small, large", [(64, 80), (80, 100), (100, 125), (120, 150)])
+def test_contained_pairs_at_the_limit_are_linked(spark, small, large):
+    """Sketches that reach past half of the hash range, of sets of unequal size."""
+    r = random.Random(small)
+    words = [[f"w{r.randint(0, 10 ** 9)}" for _ in range(large + 4)] for _ in range(60)]
+    docs = [(2 * i + j, " ".join(w[:n + 4])) for i, w in enumerate(words) for j, n in enumerate((small, large))]
+    rows = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), percent=80).collect()
+    assert {x.doc_id: x.component_id for x in rows} == {i: i - i % 2 for i, _ in docs}
