@@ -3,8 +3,8 @@
 A document's set is its distinct word shingles, as 64-bit hashes. The K smallest are its sketch. Documents of equal sets are one
 class from the start, so exact copies never meet in a list. Candidates come from inverted lists of retained values:
 
-* Two sets of similarity t share about t of their sketches; less than SHARE of it only with a probability under 1e-6. Sketches that
-  overlap in SHARE have a value in common among the rarest (1 - SHARE) of each, so only these enter the lists (prefix filter).
+* Two sets of similarity t share about t of their sketches; less than share_of(t) of it only with a probability under MISSED. Sketches
+  that overlap in a share have a value in common among the rarest rest (1 - share) of each, so only these enter the lists (prefix filter).
   Values of common passages are the last to enter, and values that one class alone holds lead to no list.
 * Short lists give all their pairs. Classes of long lists are mostly made of common content; they are listed again by their whole
   sets, where the same filter holds exactly for the threshold itself.
@@ -12,7 +12,7 @@ class from the start, so exact copies never meet in a list. Candidates come from
   connected then to the list's main component is paired with all of the list that is in other components. So a large group costs
   few pairs and yet no link between components is left out.
 
-Candidates are filtered by the similarity of their union's sketch and confirmed on their whole sets. A first round confirms one link
+Candidates from the sketches' lists are filtered by the similarity of their union's sketch, and all are confirmed on their whole sets. A first round confirms one link
 per class; the other candidates are confirmed only where they join different components. Components come from repeated minima with
 shortcuts, each round written to the shared folder. Lists, links and components stay distributed.
 """
@@ -20,6 +20,7 @@ shortcuts, each round written to the shared folder. Lists, links and components
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from terrace.llm.common import byte_slices, staged
 
 SLICE_BYTES = 1 << 20
 K = 64
-SHARE = 60  # percent of a sketch that linked sets have in common at least
+MISSED = 1e-6  # with what probability sets at the limit may have less of their sketches in common than `share_of` says
 SHORT_LIST = 12
 PIVOTS = 3
 #: Ids are sent to all executors only up to this number (8 bytes each); beyond it the texts are joined by a shuffle.
@@ -72,6 +73,14 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(out >> np.uint64(1)).astype(np.int64)
 
 
+def share_of(percent: int) -> int:
+    """Percent of a sketch that sets at the limit have in common, but for a probability below MISSED (binomial tail)."""
+    t, below, least = percent / 100, 0.0, 0
+    while least < K and (below := below + comb(K, least) * t ** least * (1 - t) ** (K - least)) < MISSED:
+        least += 1
+    return 100 * least // K
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * shared >= percent * (len(a) + len(b) - shared)
@@ -166,13 +175,13 @@ def crossing_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFra
     return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose union's sketch has at least SHARE percent of its values in both."""
+def estimated(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
+    """Pairs whose union's sketch has at least `share` percent of its values in both."""
     side = lambda name: classes.select(F.col("id").alias(name), F.col("brief").alias(f"{name}_brief"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.array_sort(F.array_union("a_brief", "b_brief")), 1, K)
     shared = F.size(F.array_intersect(F.array_intersect("a_brief", "b_brief"), union))
-    return both.filter(100 * shared >= SHARE * F.size(union)).select("a", "b")
+    return both.filter(100 * shared >= share * F.size(union)).select("a", "b")
 
 
 def confirmed_by_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -234,8 +243,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_colum
     named = sets.filter("n > 0 AND id IS NOT NULL")
     classes = staged(named.groupBy("sig").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.any_value("values").alias("values"), F.any_value("brief").alias("brief")), "classes")
 
-    lists = staged(prefix_lists(classes.select("id", "n", "values"), SHARE), "lists").withColumns({"most": F.col("n"), "reach": F.col("n")})  # sketches give no bound for whole sets
-    candidates = short_pairs(lists, percent)
+    share = share_of(percent)
+    lists = staged(prefix_lists(classes.select("id", "n", "values"), share), "lists").withColumns({"most": F.col("n"), "reach": F.col("n")})  # sketches give no bound for whole sets
+    candidates = estimated(short_pairs(lists, percent), classes, share)
     crowded = staged(lists.filter(F.col("m") > SHORT_LIST).select("id").distinct(), "crowded")
     dense = None
     if not crowded.isEmpty():
@@ -243,7 +253,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_colum
         again = staged(prefix_lists(whole, percent), "lists")
         dense = again.filter(F.col("m") > SHORT_LIST)
         candidates = candidates.union(short_pairs(again, percent)).union(pivot_pairs(dense, percent)).distinct()
-    candidates = staged(estimated(candidates, classes), "candidates")
+    candidates = staged(candidates, "candidates")
 
     first = staged(candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
     links = staged(confirmed(first, rows, width, percent), "links")
@@ -255,7 +265,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_colum
         labels = components(links)
     if dense is not None:
         crossing = crossing_pairs(dense, labels, percent).join(candidates, ["a", "b"], "left_anti")
-        found = staged(confirmed_by_sets(estimated(crossing, classes), whole, percent), "found")
+        found = staged(confirmed_by_sets(crossing, whole, percent), "found")
         if not found.isEmpty():
             labels = components(links.union(found))
 

@@ -1,6 +1,7 @@
 """Fingerprints and near-dedup against brute force."""
 
 import hashlib
+import math
 import random
 from collections import Counter
 
@@ -125,3 +126,11 @@ def test_contained_pairs_at_the_limit_are_linked(spark, small, large):
     docs = [(2 * i + j, " ".join(w[:n + 4])) for i, w in enumerate(words) for j, n in enumerate((small, large))]
     rows = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), percent=80).collect()
     assert {x.doc_id: x.component_id for x in rows} == {i: i - i % 2 for i, _ in docs}
+
+
+def test_share_of_a_sketch_follows_the_limit():
+    tail = lambda t, c: sum(math.comb(64, i) * t ** i * (1 - t) ** (64 - i) for i in range(c))
+    assert near_dedup.share_of(85) == 60
+    for percent in (70, 80, 85, 90):
+        least = -(-near_dedup.share_of(percent) * 64 // 100)
+        assert tail(percent / 100, least) < 1e-6 <= tail(percent / 100, least + 1)
