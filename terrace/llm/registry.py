@@ -12,6 +12,9 @@ from terrace.llm.fingerprints import fingerprints
 from terrace.llm.language_id import language_id
 from terrace.llm.lm_scoring import lm_scores
 from terrace.llm.packing import pack_documents
+from terrace.llm.periodic_runs import planted, run_digests
+from terrace.llm.source_mixing import mixed_words
+from terrace.llm.spelling import one_left_out, spelling_variants
 from terrace.llm.token_counts import token_counts
 
 
@@ -55,6 +58,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_words(documents(spark, sf_dir))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(documents(spark, sf_dir), planted)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir), one_left_out)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -64,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {f.__name__: f for f in (
         op1_token_counts, op2_byte_bpe, op3_quality_rules, op4_quality_classifier, op5_language_id, op6_line_dedup, op7_fingerprints, op8_lm_scoring, op9_packing,
-        op10_near_dedup, pipeline)}
+        op10_near_dedup, op11_source_mixing, op12_periodic_runs, op13_spelling_variants, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

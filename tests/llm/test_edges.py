@@ -5,7 +5,8 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from terrace.llm import byte_bpe, fingerprints, language_id, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, token_counts
+from terrace.llm import (byte_bpe, fingerprints, language_id, line_dedup, lm_scoring, near_dedup, packing, periodic_runs, quality_classifier, quality_rules, source_mixing, spelling,
+                         token_counts)
 
 BPE, RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 OPERATORS = {
@@ -19,6 +20,8 @@ OPERATORS = {
     "lm_scores": lambda d, labels: lm_scoring.lm_scores(d),
     "near_duplicates": lambda d, labels: near_dedup.near_duplicates(d),
     "packing": lambda d, labels: packing.pack_documents(d, BPE, PATTERN),
+    "source_mixing": lambda d, labels: source_mixing.mixed_words(d),
+    "periodic_runs": lambda d, labels: periodic_runs.run_digests(d),
 }
 FILTERS = {
     "quality_rules": lambda d, labels: quality_rules.keep_good(d),
@@ -71,5 +74,5 @@ def test_stages_return_the_columns_of_their_input(name, clashing, empty, labels)
 
 def test_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and corpus_pipeline.ORACLE_SQL is None
