@@ -1,4 +1,4 @@
-"""SQL for the streaming queries. Windows and unmatched outer rows are limited to what the watermark has closed."""
+"""SQL for the streaming queries."""
 
 from oracles.operators import amt, big, dec
 
@@ -24,20 +24,13 @@ def epoch_bin(ts: str, days: int) -> str:
     return f"(TIMESTAMP '1970-01-01' + to_days(CAST(date_diff('day', DATE '1970-01-01', CAST({ts} AS DATE)) // {days} * {days} AS INTEGER)))"
 
 
-def closed(w: str, size: str, delay: str, newest: str) -> str:
-    return f"{w} + INTERVAL {size} <= ({newest}) - INTERVAL {delay}"
-
-
-NEWEST_EVENT = "SELECT max(ts) FROM events"
 PAGES = f"""p AS (SELECT ts, 'v' || user_id % 3 AS vc, 'c' || user_id % 2 AS ch, event_type, 0 AS uv, 1 AS pv, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS sv,
     CAST(trunc(value * 100) AS BIGINT) AS dur FROM events
   UNION ALL SELECT ts, 'v' || user_id % 3, 'c' || user_id % 2, event_type, 1, 0, 0, 0 FROM ({FIRSTS}))"""
 
 
-def page_views(only_closed: bool) -> str:
-    cond = closed("w", "1 HOUR", "1 DAY", NEWEST_EVENT) if only_closed else "true"
-    return f"""WITH {PAGES}, q AS (SELECT *, {hour()} AS w FROM p) SELECT {bounds('w', '1 HOUR')}, vc, ch, event_type, {big('sum(uv)')} AS uv_ct, {big('sum(sv)')} AS sv_ct,
-      {big('sum(pv)')} AS pv_ct, {big('sum(dur)')} AS dur_sum FROM q WHERE {cond} GROUP BY w, vc, ch, event_type"""
+PAGE_VIEWS = f"""WITH {PAGES}, q AS (SELECT *, {hour()} AS w FROM p) SELECT {bounds('w', '1 HOUR')}, vc, ch, event_type, {big('sum(uv)')} AS uv_ct, {big('sum(sv)')} AS sv_ct,
+  {big('sum(pv)')} AS pv_ct, {big('sum(dur)')} AS dur_sum FROM q GROUP BY w, vc, ch, event_type"""
 
 
 SQL = {
@@ -58,8 +51,7 @@ SQL = {
         SELECT l_orderkey, {big('sum(d)')} AS gained, count(*) AS changes FROM y WHERE d IS NOT NULL GROUP BY l_orderkey""",
     "order_detail_stream": f"""SELECT {LINE_ID} AS id, l_orderkey AS order_id, o_custkey AS user_id, {amt('l_extendedprice')} AS amount,
         CASE WHEN l_discount > 0.05 THEN l_suppkey % 25 END AS activity_id, CASE WHEN l_tax > 0.04 THEN l_suppkey END AS coupon_id
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND {NEAR}
-        WHERE (l_discount > 0.05 AND l_tax > 0.04) OR l_shipdate < (SELECT least(max(l_shipdate), (SELECT max(o_orderdate) FROM orders)) FROM lineitem) - INTERVAL 31 DAY""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND {NEAR}""",
     "cancel_stream": f"""SELECT {LINE_ID} AS id, l_orderkey AS order_id, o_custkey AS user_id, l_partkey AS sku_id, {amt('l_extendedprice')} AS amount
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND {NEAR} WHERE o_orderstatus = 'F'""",
     "interval_join": f"""SELECT a.event_id AS order_id, b.event_id AS pay_id, b.user_id AS pay_user, n AS pay_name FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click'
@@ -78,32 +70,32 @@ SQL = {
     "first_of_day": f"SELECT user_id, strftime(min(ts), {US}) AS ts FROM events GROUP BY user_id, CAST(ts AS DATE)",
     "retract_dedup": f"""WITH v AS (SELECT o_orderkey AS id, o_custkey % 25 AS province_id, strftime(o_orderdate, {US}) AS ts, {dec('o_totalprice')} AS one, {dec(AMOUNT2)} AS two FROM orders)
         SELECT id, province_id, ts, 1 AS version, one AS amount FROM v UNION ALL SELECT id, province_id, ts, 1, -one FROM v UNION ALL SELECT id, province_id, ts, 2, two FROM v""",
-    "emit_last": f"""SELECT o_orderkey AS id, o_custkey % 25 AS province_id, strftime(o_orderdate, {US}) AS ts, 2 AS version, {dec(AMOUNT2)} AS amount FROM orders
-        WHERE {closed('o_orderdate', '1 DAY', '1 DAY', 'SELECT max(o_orderdate) FROM orders')}""",
+    "emit_last": f"""SELECT o_orderkey AS id, o_custkey % 25 AS province_id, strftime(o_orderdate, {US}) AS ts, 2 AS version, {dec(AMOUNT2)} AS amount FROM orders""",
     "keyword_counts": f"""WITH e AS (SELECT make_timestamp((conv_id * 60 + turn) * 1000000) AS ts, text FROM conversations),
         w AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS w, unnest(list_distinct(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'))) AS keyword FROM e)
-        SELECT {bounds('w', '10 MINUTE')}, keyword, count(*) AS keyword_count FROM w WHERE keyword <> '' AND {closed('w', '10 MINUTE', '3 SECOND', 'SELECT max(ts) FROM e')} GROUP BY w, keyword""",
-    "page_view_window": page_views(True),
-    "page_view_totals": page_views(False),
+        SELECT {bounds('w', '10 MINUTE')}, keyword, count(*) AS keyword_count FROM w WHERE keyword <> '' GROUP BY w, keyword""",
+    "page_view_window": PAGE_VIEWS,
+    "page_view_totals": PAGE_VIEWS,
     "unique_window": f"""WITH f AS (SELECT min(ts) AS ts FROM events WHERE event_type = 'purchase' GROUP BY user_id, CAST(ts AS DATE)), q AS (SELECT {hour()} AS w FROM f)
-        SELECT {bounds('w', '1 HOUR')}, count(*) AS cart_add_uu_ct FROM q WHERE {closed('w', '1 HOUR', '1 DAY', "SELECT max(ts) FROM events WHERE event_type = 'purchase'")} GROUP BY w""",
+        SELECT {bounds('w', '1 HOUR')}, count(*) AS cart_add_uu_ct FROM q GROUP BY w""",
     "home_detail_window": f"""WITH f AS (SELECT event_type, min(ts) AS ts FROM events WHERE event_type IN ('view', 'click') GROUP BY event_type, user_id, CAST(ts AS DATE)), q AS (SELECT event_type, {hour()} AS w FROM f)
         SELECT {bounds('w', '1 HOUR')}, count(*) FILTER (event_type = 'view') AS home_uv_ct, count(*) FILTER (event_type = 'click') AS good_detail_uv_ct
-        FROM q WHERE {closed('w', '1 HOUR', '1 DAY', "SELECT max(ts) FROM events WHERE event_type IN ('view', 'click')")} GROUP BY w""",
+        FROM q GROUP BY w""",
     "login_window_back": f"""WITH e AS (SELECT * FROM events WHERE event_type = 'purchase'), f AS (SELECT user_id, CAST(ts AS DATE) AS day, min(ts) AS ts FROM e GROUP BY ALL),
         g AS (SELECT *, day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS gap FROM f), q AS (SELECT *, {hour()} AS w FROM g)
-        SELECT {bounds('w', '1 HOUR')}, count(*) FILTER (gap >= 3) AS back_ct, count(*) AS uu_ct FROM q WHERE {closed('w', '1 HOUR', '5 SECOND', 'SELECT max(ts) FROM e')} GROUP BY w""",
-    "amount_window": f"""SELECT {bounds('o_orderdate', '1 DAY')}, o_custkey % 25 AS province_id, {dec(f'sum({AMOUNT2})')} AS order_amount FROM orders
-        WHERE {closed('o_orderdate', '1 DAY', '1 DAY', 'SELECT max(o_orderdate) FROM orders')} GROUP BY o_orderdate, o_custkey % 25""",
+        SELECT {bounds('w', '1 HOUR')}, count(*) FILTER (gap >= 3) AS back_ct, count(*) AS uu_ct FROM q GROUP BY w""",
+    "amount_window": f"""SELECT {bounds('o_orderdate', '1 DAY')}, o_custkey % 25 AS province_id, {dec(f'sum({AMOUNT2})')} AS order_amount FROM orders GROUP BY o_orderdate, o_custkey % 25""",
     "amount_window_upsert": f"""WITH q AS (SELECT *, {epoch_bin('l_shipdate', 30)} AS w FROM lineitem) SELECT {bounds('w', '30 DAY')}, l_partkey, {dec(f"sum({amt('l_extendedprice')})")} AS original_amount,
         {dec(f"sum(CAST({amt('l_extendedprice')} * {amt('l_discount')} AS DECIMAL(16,2)))")} AS activity_amount FROM q GROUP BY w, l_partkey""",
     "distinct_window": f"""WITH q AS (SELECT *, {epoch_bin('o_orderdate', 30)} AS w FROM orders) SELECT {bounds('w', '30 DAY')}, o_custkey % 25 AS province_id, count(DISTINCT o_orderkey) AS order_count,
-        {dec(f"sum({amt('o_totalprice')} + {AMOUNT2})")} AS order_amount FROM q WHERE {closed('w', '30 DAY', '1 DAY', 'SELECT max(o_orderdate) FROM orders')} GROUP BY w, o_custkey % 25""",
+        {dec(f"sum({amt('o_totalprice')} + {AMOUNT2})")} AS order_amount FROM q GROUP BY w, o_custkey % 25""",
     "newest_only": f"""SELECT o_orderkey, o_custkey, strftime(o_orderdate, {US}) AS ts FROM (SELECT *, max(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM orders)
         WHERE best IS NULL OR o_orderdate > best""",
     "drop_repeats": f"SELECT event_id, strftime(ts, {US}) AS ts FROM events",
-    "upsert_log": f"""SELECT o_custkey, o_orderkey, strftime(o_orderdate, {US}) AS o_orderdate, o_orderstatus FROM orders
-        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+    "upsert_log": f"""SELECT o_custkey, o_orderkey, strftime(o_orderdate, {US}) AS o_orderdate, o_orderstatus FROM (SELECT * FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1) WHERE o_orderstatus <> 'P'""",
+    "hand_over": """WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, epoch_us(o_orderdate) // 1000 AS ms, o_orderkey AS k FROM orders)
+        SELECT 'r' AS op, id, status, ms AS ts_ms FROM o UNION ALL SELECT 'u', id, status, ms + 1000 FROM o WHERE k % 5 = 0""",
     "dated_sink": f"""SELECT CASE WHEN event_id % 50 = 0 THEN 'error_bucket' ELSE strftime(ts, '%Y%m%d') END AS day, count(*) AS rows, {big('sum(event_id)')} AS id_sum FROM events GROUP BY 1""",
     "route_dims": """SELECT 'dim_user' AS sink_table, CAST(c_custkey AS VARCHAR) AS row_key, 'id=' || c_custkey || ';name=' || c_name AS cells FROM customer WHERE c_custkey % 10 <> 9
         UNION ALL SELECT 'dim_sku', CAST(p_partkey AS VARCHAR), 'extra=' || p_brand || ';id=' || p_partkey || ';name=' || p_name FROM part WHERE p_partkey % 10 <> 9""",

@@ -72,11 +72,11 @@ def to_date_merge_outer(old: DataFrame, new: DataFrame, key: str, as_of: date, m
 
 
 def to_date_merge_union(old: DataFrame, new: DataFrame, key: str, as_of: date, measures: Sequence[str],
-                        first: str = "order_date_first", last: str = "order_date_last") -> DataFrame:
-    """The same merge as one union and one aggregation."""
-    today = F.lit(as_of.isoformat()).cast(old.schema[first].dataType)
+                        first: str = "order_date_first", last: str = "order_date_last", day: str | None = None) -> DataFrame:
+    """The same merge as one union and one aggregation. The new rows may be of several days, which `day` then holds."""
+    when = (F.lit(as_of.isoformat()) if day is None else F.col(day)).cast(old.schema[first].dataType)
     both = old.select(key, first, last, *measures).unionByName(
-        new.select(key, today.alias(first), today.alias(last), *measures))
+        new.select(key, when.alias(first), when.alias(last), *measures))
     return both.groupBy(key).agg(F.min(first).alias(first), F.max(last).alias(last),
                                  *[F.sum(m).cast(old.schema[m].dataType).alias(m) for m in measures])
 

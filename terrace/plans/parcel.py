@@ -330,28 +330,28 @@ def dws_trans_bound_finish_td(w):
 
 # ---- reports ----
 
-def _one_and_n(w, one: str, many: str, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """The day itself from the daily table and 7 / 30 days from the n-day table, as rows of one report."""
-    day = w[one].where(F.col("dt") == w.today).groupBy(F.lit(1).alias("recent_days"), *keys).agg(*aggs)
-    return day.unionByName(w[many].groupBy("recent_days", *keys).agg(*aggs))
+REPORT_DAYS = (1, *DAYS)
+
+
+def _recent(w, daily: str, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """The day itself and the last 7 and 30 days from one pass over a daily table."""
+    return op.recent_days_rollup(w[daily], "dt", w.as_of, REPORT_DAYS, keys, aggs)
 
 
 def _orders(w, keys, prefix=""):
-    return _one_and_n(w, "dws_trade_org_cargo_type_order_1d", "dws_trade_org_cargo_type_order_nd", keys, [
-        F.sum("order_count").alias(f"{prefix}order_count"), _total("order_amount", f"{prefix}order_amount")])
+    return _recent(w, "dws_trade_org_cargo_type_order_1d", keys, [F.sum("order_count").alias(f"{prefix}order_count"), _total("order_amount", f"{prefix}order_amount")])
 
 
 def _receives(w, keys):
-    return _one_and_n(w, "dws_trans_org_receive_1d", "dws_trans_org_receive_nd", keys, [
-        F.sum("order_count").alias("receive_order_count"), _total("order_amount", "receive_order_amount")])
+    return _recent(w, "dws_trans_org_receive_1d", keys, [F.sum("order_count").alias("receive_order_count"), _total("order_amount", "receive_order_amount")])
 
 
 def _delivers(w, keys):
-    return _one_and_n(w, "dws_trans_org_deliver_suc_1d", "dws_trans_org_deliver_suc_nd", keys, [F.sum("order_count").alias("deliver_suc_count")])
+    return _recent(w, "dws_trans_org_deliver_suc_1d", keys, [F.sum("order_count").alias("deliver_suc_count")])
 
 
 def _sorts(w, keys):
-    return _one_and_n(w, "dws_trans_org_sort_1d", "dws_trans_org_sort_nd", keys, [F.sum("sort_count").alias("sort_count")])
+    return _recent(w, "dws_trans_org_sort_1d", keys, [F.sum("sort_count").alias("sort_count")])
 
 
 def _trans_sums():
@@ -365,14 +365,13 @@ def _trans_means():
 
 @job
 def ads_trans_order_stats(w):
-    dispatches = _one_and_n(w, "dws_trans_dispatch_1d", "dws_trans_dispatch_nd", [], [
-        F.sum("order_count").alias("dispatch_order_count"), _total("order_amount", "dispatch_order_amount")])
+    dispatches = _recent(w, "dws_trans_dispatch_1d", [], [F.sum("order_count").alias("dispatch_order_count"), _total("order_amount", "dispatch_order_amount")])
     return _stamp(op.metrics_full_outer([_receives(w, []), dispatches], ["recent_days"]), w)
 
 
 @job
 def ads_trans_stats(w):
-    return _stamp(_one_and_n(w, "dws_trans_org_truck_model_type_trans_finish_1d", "dws_trans_shift_trans_finish_nd", [], _trans_sums()), w)
+    return _stamp(_recent(w, "dws_trans_org_truck_model_type_trans_finish_1d", [], _trans_sums()), w)
 
 
 @job
@@ -393,18 +392,17 @@ def ads_order_cargo_type_stats(w):
 
 @job
 def ads_city_stats(w):
+    trans = _recent(w, "dws_trans_org_truck_model_type_trans_finish_1d", ["org_id"], _trans_sums())
     organs = op.hierarchy_resolve(w["dim_organ_full"].select(F.col("id").alias("_org"), "org_level", "region_id"), w["dim_region_full"], "org_level", "region_id", province=False)
-    day = op.star_flatten(w["dws_trans_org_truck_model_type_trans_finish_1d"].where(F.col("dt") == w.today), [(organs, "org_id", "_org", {c: c for c in CITY})])
-    day = day.groupBy(F.lit(1).alias("recent_days"), *CITY).agg(*_trans_sums(), *_trans_means())
-    many = w["dws_trans_shift_trans_finish_nd"].groupBy("recent_days", *CITY).agg(*_trans_sums(), *_trans_means())
-    return _stamp(op.metrics_full_outer([_orders(w, CITY), day.unionByName(many)], ["recent_days", *CITY]), w)
+    trans = op.star_flatten(trans, [(organs, "org_id", "_org", {c: c for c in CITY})]).groupBy("recent_days", *CITY).agg(*_trans_sums(), *_trans_means())
+    return _stamp(op.metrics_full_outer([_orders(w, CITY), trans], ["recent_days", *CITY]), w)
 
 
 @job
 def ads_org_stats(w):
     """Orders and transports per organisation: either of them for one day, both of them for 7 and 30 days."""
     keys = ["org_id", "org_name"]
-    trans = _one_and_n(w, "dws_trans_org_truck_model_type_trans_finish_1d", "dws_trans_shift_trans_finish_nd", keys, [*_trans_sums(), *_trans_means()])
+    trans = _recent(w, "dws_trans_org_truck_model_type_trans_finish_1d", keys, [*_trans_sums(), *_trans_means()])
     both = op.metrics_full_outer([_orders(w, keys), trans], ["recent_days", *keys])
     return _stamp(both.where("recent_days = 1 or (order_count is not null and trans_finish_count is not null)"), w)
 

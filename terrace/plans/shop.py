@@ -322,10 +322,11 @@ def dws_user_user_login_td_init(w):
 
 @job
 def dws_user_user_login_td(w):
-    today = w["dwd_user_login_inc"].where(F.col("dt") == w.today).groupBy("user_id").agg(F.count(F.lit(1)).alias("login_count_td"))
-    before = w.yesterday("dws_user_user_login_td")
-    merged = op.to_date_merge_outer(w["dws_user_user_login_td_init"] if before is None else before.drop("dt"), today, "user_id", w.as_of, ["login_count_td"], "login_date_first", "login_date_last")
-    return _stamp(merged, w)
+    """The newest stored profile, or the initial one, with the days since then."""
+    stored = w.before("dws_user_user_login_td")
+    day, before = (w.days_ago(1), w["dws_user_user_login_td_init"]) if stored is None else (stored[0], stored[1].drop("dt"))
+    since = w["dwd_user_login_inc"].where((F.col("dt") > day) & (F.col("dt") <= w.today)).groupBy("user_id", "dt").agg(F.count(F.lit(1)).alias("login_count_td"))
+    return _stamp(op.to_date_merge_union(before, since, "user_id", w.as_of, ["login_count_td"], "login_date_first", "login_date_last", "dt"), w)
 
 
 @job
@@ -353,17 +354,16 @@ def _td_types(df):
 
 
 def _td_yesterday(w):
-    before = w.yesterday("dws_trade_user_order_td")
-    if before is not None:
-        return before.drop("dt")
     return _td_types(op.to_date_rebuild(_td_daily(w).where(F.col("dt") < w.today), "user_id", "dt", TD_MEASURES))
 
 
 @job
 def dws_trade_user_order_td(w):
-    """Yesterday's profile merged with today's orders by union, the cheapest of the three equal forms."""
-    today = _td_daily(w).where(F.col("dt") == w.today)
-    return _stamp(op.to_date_merge_union(_td_yesterday(w), today, "user_id", w.as_of, TD_MEASURES), w)
+    """The newest stored profile, or one of all days before, merged with the days since then by union, the cheapest of the three equal forms."""
+    stored = w.before("dws_trade_user_order_td")
+    day, before = (w.days_ago(1), _td_yesterday(w)) if stored is None else (stored[0], stored[1].drop("dt"))
+    since = _td_daily(w).where((F.col("dt") > day) & (F.col("dt") <= w.today))
+    return _stamp(op.to_date_merge_union(before, since, "user_id", w.as_of, TD_MEASURES, day="dt"), w)
 
 
 @job

@@ -11,9 +11,8 @@ from terrace import streaming as st
 from terrace.functions import money, second_text
 from terrace.session import tune, work_dir
 from terrace.sources import load
-from terrace.sources.readers import stream_table
+from terrace.sources.readers import stream, stream_table
 from terrace.streaming.runs import run_to_end
-from terrace.streaming.sinks import dated_rows, newest_per_key, read_latest, upsert_log
 from terrace.streaming.windows import login_window
 
 QUERIES = {}
@@ -26,15 +25,39 @@ class Streams:
         self.spark, self.sf_dir = tune(spark), sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return stream_table(self.spark, self.sf_dir, name)
+        files = self.spark.conf.get("terrace.stream.files", None)  # how many files make a micro-batch; all, unless set
+        return stream_table(self.spark, self.sf_dir, name, int(files) if files else None)
 
     def static(self, name: str) -> DataFrame:
         return load(self.spark, self.sf_dir, name)
 
+    def again(self, rows: DataFrame) -> DataFrame:
+        """Rows as a stream of their own: what one job has written is the next one's source."""
+        path = f"{work_dir(self.spark)}/topic-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return stream(self.spark, path, rows.schema)
 
-def query(fn):
-    QUERIES[f"stream_{fn.__name__}"] = lambda spark, sf_dir: fn(Streams(spark, sf_dir))
-    return fn
+    def in_turn(self, *parts: DataFrame) -> DataFrame:
+        """Frames of one schema as a stream with a micro-batch for each."""
+        path = f"{work_dir(self.spark)}/topic-{uuid.uuid4().hex}"
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(path)
+        return stream(self.spark, path, parts[0].schema, files_per_trigger=1)
+
+
+def bounded_query(queries: dict, prefix: str):
+    """Register queries over inputs that end: after the last row a closing record lets open windows and unmatched rows out."""
+    def query(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            t = Streams(spark, sf_dir)
+            with st.bounded(t.spark):
+                return fn(t)
+        queries[f"{prefix}_{fn.__name__}"] = run
+        return fn
+    return query
+
+
+query = bounded_query(QUERIES, "stream")
 
 
 def _texts(df: DataFrame) -> DataFrame:
@@ -77,13 +100,8 @@ def _nested_log(t):
 
 @query
 def split_log(t):
-    parts = st.split_log(_nested_log(t))
-    detail = {"err": F.col("err.code"), "start": F.col("common.mid"), "display": F.col("display.item"), "action": F.col("action.item"), "page": F.col("common.mid")}
-    rows = None
-    for name, part in parts.items():
-        part = part.select(F.lit(name).alias("kind"), "ts", detail[name].cast("bigint").alias("detail"))
-        rows = part if rows is None else rows.unionByName(part)
-    return run_to_end(rows)
+    detail = F.coalesce("err.code", F.when(F.col("kind").isin("start", "page"), F.col("common.mid")), "display.item", "action.item")
+    return run_to_end(st.split_log(_nested_log(t)).select("kind", "ts", detail.cast("bigint").alias("detail")))
 
 
 def _order_changes(orders: DataFrame) -> DataFrame:
@@ -124,19 +142,19 @@ def line_id():
 
 def _details(t):
     return t.lineitem.select(line_id().alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"), money("l_extendedprice").alias("amount"),
-                             F.col("l_shipdate").alias("detail_time")).withWatermark("detail_time", "1 day")
+                             F.col("l_shipdate").alias("detail_time")).transform(st.watermark, "detail_time", "1 day")
 
 
 def _headers(t, *extra):
     return t.orders.select(F.col("o_orderkey").alias("header_id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("order_status"),
-                           F.col("o_orderdate").alias("header_time"), *extra).withWatermark("header_time", "1 day")
+                           F.col("o_orderdate").alias("header_time"), *extra).transform(st.watermark, "header_time", "1 day")
 
 
 @query
 def order_detail_stream(t):
     activity = t.lineitem.where("l_discount > 0.05").select(line_id().alias("act_detail_id"), (F.col("l_suppkey") % 25).alias("activity_id"), F.col("l_shipdate").alias("act_time"))
     coupon = t.lineitem.where("l_tax > 0.04").select(line_id().alias("cou_detail_id"), F.col("l_suppkey").alias("coupon_id"), F.col("l_shipdate").alias("cou_time"))
-    rows = st.order_detail_stream(_details(t), _headers(t), activity.withWatermark("act_time", "1 day"), coupon.withWatermark("cou_time", "1 day"), "-30 days", "30 days", "-1 day", "1 day")
+    rows = st.order_detail_stream(_details(t), _headers(t), activity.transform(st.watermark, "act_time", "1 day"), coupon.transform(st.watermark, "cou_time", "1 day"), "-30 days", "30 days", "-1 day", "1 day")
     return run_to_end(rows.select("id", "order_id", "user_id", "amount", "activity_id", "coupon_id"))
 
 
@@ -148,7 +166,7 @@ def cancel_stream(t):
 
 def _events_of(t, kind, prefix):
     return t.events.where(F.col("event_type") == kind).select(F.col("event_id").alias(f"{prefix}_id"), F.col("user_id").alias(f"{prefix}_user"),
-                                                              F.col("ts").alias(f"{prefix}_time"), (F.col("event_id") % 5).alias(f"{prefix}_code")).withWatermark(f"{prefix}_time", "10 seconds")
+                                                              F.col("ts").alias(f"{prefix}_time"), (F.col("event_id") % 5).alias(f"{prefix}_code")).transform(st.watermark, f"{prefix}_time", "10 seconds")
 
 
 def _codes(spark, names):
@@ -174,7 +192,7 @@ def interval_merge(t):
 @query
 def refund_stream(t):
     refunds = (t.lineitem.where("l_returnflag = 'R'").select(line_id().alias("id"), F.col("l_orderkey").alias("order_id"), (F.col("l_partkey") % 5).alias("refund_type"),
-                                                            (F.col("l_suppkey") % 5).alias("reason"), F.col("l_shipdate").alias("refund_time")).withWatermark("refund_time", "1 day"))
+                                                            (F.col("l_suppkey") % 5).alias("reason"), F.col("l_shipdate").alias("refund_time")).transform(st.watermark, "refund_time", "1 day"))
     dic = _codes(t.spark, PAY_NAMES)
     rows = st.refund_stream(refunds, _headers(t).where("order_status = 'F'"), "-30 days", "30 days",
                             [(dic, ("refund_type", "dic_code"), {"dic_name": "type_name"}), (dic, ("reason", "dic_code"), {"dic_name": "reason_name"})])
@@ -184,9 +202,9 @@ def refund_stream(t):
 @query
 def refund_paid_stream(t):
     pay = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"), (F.col("l_suppkey") % 5).alias("pay_type"),
-                                                       money("l_extendedprice").cast("decimal(18,2)").alias("paid"), F.col("l_shipdate").alias("pay_time")).withWatermark("pay_time", "1 day")
+                                                       money("l_extendedprice").cast("decimal(18,2)").alias("paid"), F.col("l_shipdate").alias("pay_time")).transform(st.watermark, "pay_time", "1 day")
     refund = t.lineitem.where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("refund_order_id"), F.col("l_partkey").alias("refund_sku_id"), F.col("l_linenumber").alias("refund_num"),
-                                                          F.col("l_shipdate").alias("refund_time")).withWatermark("refund_time", "1 day")
+                                                          F.col("l_shipdate").alias("refund_time")).transform(st.watermark, "refund_time", "1 day")
     rows = st.refund_paid_stream(pay, refund, _headers(t), "-30 days", "30 days", [(_codes(t.spark, PAY_NAMES), ("pay_type", "dic_code"), {"dic_name": "pay_name"})])
     return run_to_end(rows.select("order_id", "sku_id", "user_id", "refund_num", "paid", "pay_name"))
 
@@ -209,7 +227,7 @@ def enrich_chain(t):
 
 @query
 def first_of_day(t):
-    return _texts(run_to_end(st.first_of_day(t.events.select("user_id", "ts"), ["user_id"], "ts")))
+    return _texts(st.settled(run_to_end(st.first_of_day(t.events.select("user_id", "ts"), ["user_id"], "ts"))))
 
 
 def _versions(t):
@@ -245,7 +263,7 @@ def _pages(t):
 
 @query
 def page_view_window(t):
-    return run_to_end(st.page_view_window(_pages(t), "ts", "user_id", ["vc", "ch", "event_type"], "dur", "last_page_id", "1 hour"))
+    return run_to_end(st.page_view_window(_pages(t), "ts", "user_id", ["vc", "ch", "event_type"], "dur", "last_page_id", "1 hour", order=["event_id"]))
 
 
 @query
@@ -253,7 +271,7 @@ def page_view_totals(t):
     """The same measures without waiting for windows to close: partial sums per micro-batch, added up when read."""
     path = f"{work_dir(t.spark)}/totals-{uuid.uuid4().hex}"
     dims = ["vc", "ch", "event_type"]
-    parts = st.page_view_parts(_pages(t), "ts", "user_id", dims, "dur", "last_page_id")
+    parts = st.page_view_parts(_pages(t), "ts", "user_id", dims, "dur", "last_page_id", order=["event_id"])
     (parts.writeStream.foreachBatch(st.additive_log(f"{path}/rows", "ts", "1 hour", dims, st.windows.PAGE_VIEW_SUMS)).option("checkpointLocation", f"{path}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
     return st.window_columns(st.read_additive(t.spark, f"{path}/rows", dims, st.windows.PAGE_VIEW_SUMS))
@@ -308,15 +326,23 @@ def drop_repeats(t):
 
 
 @query
-def upsert_log_query(t):
-    path = f"{work_dir(t.spark)}/upsert-{uuid.uuid4().hex}"
-    rows = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
-    (rows.writeStream.foreachBatch(upsert_log(f"{path}/rows", ["o_custkey"], ["o_orderdate", "o_orderkey"])).option("checkpointLocation", f"{path}/checkpoint")
-     .trigger(availableNow=True).start().awaitTermination())
-    return _texts(read_latest(t.spark, f"{path}/rows", rows.schema, ["o_custkey"], ["o_orderdate", "o_orderkey"]))
+def upsert_log(t):
+    """The newest order per customer; customers whose newest order is open are deleted."""
+    rows = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", (F.col("o_orderstatus") == "P").alias("_deleted"))
+    return _texts(run_to_end(rows, keys=["o_custkey"], order=["o_orderdate", "o_orderkey"]))
+
 
+@query
+def hand_over(t):
+    """A snapshot of the orders, and changes of which some are in the snapshot already."""
+    row = F.create_map(F.lit("id"), F.col("o_orderkey").cast("string"), F.lit("status"), F.col("o_orderstatus"))
 
-QUERIES["stream_upsert_log"] = QUERIES.pop("stream_upsert_log_query")
+    def records(orders, op, ts):
+        return orders.select(F.lit(op).alias("op"), F.lit(None).cast("map<string,string>").alias("before"), row.alias("after"), F.create_map(F.lit("table"), F.lit("order_info")).alias("source"), ts.alias("ts_ms"))
+    at = F.unix_millis("o_orderdate")
+    changes = records(t.orders.where("o_orderkey % 3 = 0"), "u", at - 1000).unionByName(records(t.orders.where("o_orderkey % 3 = 1"), "u", at)).unionByName(records(t.orders.where("o_orderkey % 5 = 0"), "u", at + 1000))
+    out = run_to_end(st.hand_over(records(t.orders, "r", at), changes, "1 day"))
+    return out.select("op", F.col("after")["id"].alias("id"), F.col("after")["status"].alias("status"), "ts_ms")
 
 
 @query

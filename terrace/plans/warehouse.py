@@ -8,6 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.operators.dims import latest_partition
 from terrace.session import tune
 from terrace.sources import SCHEMAS, append_text_rows, load, replace_partitions, write_partitions
 from terrace.sources.writers import OPEN_DATE
@@ -18,7 +19,8 @@ class Warehouse:
 
     Run layer by layer in production: publish() each table and pass the stored ones as `stored`, so a report reads
     yesterday's rollups instead of recomputing them. Without stored layers a report is one plan over the raw tables.
-    Of a stored table that holds a whole snapshot per dt (dimensions, n-day and to-date rollups) only today's is read.
+    Of a stored table that holds a whole snapshot per dt, only one is read: of a dimension the newest that is not after today, of n-day and to-date rollups
+    today's.
     """
 
     def __init__(self, raw: Callable[[str], DataFrame], jobs: Mapping[str, Callable[["Warehouse"], DataFrame]], as_of: date,
@@ -29,26 +31,32 @@ class Warehouse:
 
     def _snapshot(self, name: str, day: str) -> DataFrame:
         frame = self._stored[name]
-        whole = name.startswith("dim_") and not name.endswith("_zip") or name.endswith(("_nd", "_td"))
-        return frame.where(F.col("dt") == F.lit(day)) if whole and "dt" in frame.columns else frame
+        if "dt" not in frame.columns:
+            return frame
+        if name.startswith("dim_") and not name.endswith("_zip"):
+            return latest_partition(frame.where(F.col("dt") <= F.lit(day)))
+        return frame.where(F.col("dt") == F.lit(day)) if name.endswith(("_nd", "_td")) else frame
 
     def stored(self, name: str) -> DataFrame | None:
         """All of a stored table, or None where the table is not stored."""
         return self._stored.get(name)
 
-    def yesterday(self, name: str) -> DataFrame | None:
-        """The snapshot that a stored table holds for the day before, or None where the table is not stored."""
-        return self._snapshot(name, self.days_ago(1)) if name in self._stored else None
+    def before(self, name: str) -> tuple[str, DataFrame] | None:
+        """The newest snapshot that a stored table holds of a day before today, and that day; None where there is none.
+
+        Days between were not published, so what starts from the snapshot has to add all of them.
+        """
+        if name not in self._stored:
+            return None
+        frame = self._stored[name]
+        day = frame.where(F.col("dt") < F.lit(self.today)).agg(F.max("dt")).head()[0]
+        return (str(day), frame.where(F.col("dt") == F.lit(day))) if day is not None else None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             self._frames[name] = self._jobs[name](self) if name in self._jobs else self._raw(name)
         return self._frames[name]
 
-    def on(self, as_of: date) -> "Warehouse":
-        """The same warehouse on another day."""
-        return Warehouse(self._raw, self._jobs, as_of)
-
     @property
     def today(self) -> str:
         return self.as_of.isoformat()

@@ -44,9 +44,9 @@ def stream(spark: SparkSession, path: str, schema: str | T.StructType, files_per
     return reader.schema(schema).load(path)
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
     """One input table as a stream. The glob matches a single file as well as a folder of parts."""
-    return stream(spark, f"{sf_dir}/{name}.parquet*", SCHEMAS[name])
+    return stream(spark, f"{sf_dir}/{name}.parquet*", SCHEMAS[name], files_per_trigger)
 
 
 def read_partition(spark: SparkSession, path: str, schema: str, dt: str, fmt: str = "orc", part: str = "dt") -> DataFrame:

@@ -71,6 +71,12 @@ def insert_partitions(df: DataFrame, table: str) -> None:
     (df.select(*spark.table(table).columns).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
 
 
+def save_table(df: DataFrame, table: str, part: str | None = "dt", fmt: str = "parquet") -> None:
+    """Replace a whole catalog table, partitioned by `part` where it is given; the catalog knows its partitions at once."""
+    writer = df.write.mode("overwrite").format(fmt)
+    (writer.partitionBy(part) if part else writer).saveAsTable(table)
+
+
 def register_table(spark: SparkSession, table: str, path: str, schema: str, part: str = "dt", fmt: str = "parquet") -> None:
     """Make partition folders at `path` known to the catalog, and find the ones added since."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}, {part} STRING) USING {fmt} PARTITIONED BY ({part}) LOCATION '{path}'")

@@ -6,7 +6,8 @@ static frames; Spark broadcasts them when they are below its size threshold.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,7 +83,14 @@ def refund_paid_stream(pay: DataFrame, refund: DataFrame, orders: DataFrame, lo:
     return enrich_chain(rows, lookups)
 
 
-def upsert_lookup(df: DataFrame, dim: DataFrame, on: tuple[str, str], columns: Mapping[str, str], key: str, order: Sequence[str]) -> DataFrame:
-    """Lookup into a dimension kept as a change log: its newest row per key."""
-    from terrace.streaming.sinks import newest_per_key
-    return lookup(df, newest_per_key(dim, [key], order), on, columns)
+def refreshed(read: Callable[[], DataFrame], max_age: float = 0) -> Callable[[], DataFrame]:
+    """A dimension that follows its changes: called for each micro-batch (run_to_end's `each`), it is read again when what it holds is older than
+    `max_age` seconds. A frame in a streaming plan is read once for the life of the query."""
+    held: list = []
+
+    def frame() -> DataFrame:
+        now = time.monotonic()
+        if not held or now - held[1] >= max_age:
+            held[:] = [read(), now]
+        return held[0]
+    return frame

@@ -1,16 +1,49 @@
-"""Running a stream over everything that is available and reading back what it wrote."""
+"""Running streams: named jobs that go on from their checkpoint, and runs over everything that is available."""
 
 from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from terrace.session import tune, work_dir
-from terrace.streaming.sinks import read_latest, upsert_log
+from terrace.streaming.bounded import current
+from terrace.streaming.sinks import KeyedTable, batch_log, read_log
+
+Write = Callable[[DataFrame, int], None]
+
+
+class LateRows(StreamingQueryListener):
+    """Rows that came behind the watermark and were dropped, per run and stateful operator, counted over the whole run."""
+
+    def __init__(self):
+        self.dropped: dict[str, dict[int, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.runId), {})
+
+    def onQueryProgress(self, event) -> None:
+        counts = self.dropped.setdefault(str(event.progress.runId), {})
+        for i, operator in enumerate(event.progress.stateOperators):
+            counts[i] = counts.get(i, 0) + operator.numRowsDroppedByWatermark
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return sum(self.dropped.get(str(query.runId), {}).values())
+
+
+def watch_late_rows(spark: SparkSession) -> LateRows:
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    return listener
 
 
 def late_rows(query: StreamingQuery) -> int:
@@ -18,17 +51,42 @@ def late_rows(query: StreamingQuery) -> int:
     return sum(state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"])
 
 
-def run_to_end(df: DataFrame, mode: str = "append", keys: Sequence[str] | None = None) -> DataFrame:
-    """Process all available input and return the rows written.
+def start_job(df: DataFrame, name: str, root: str, write: Write | None = None, mode: str = "append", every: str | None = None) -> StreamingQuery:
+    """Start a job that goes on from where it stopped: its checkpoint lies under its name, and a repeated micro-batch replaces itself.
+
+    `every` is the trigger interval ("30 seconds"); without it the job takes what is available and ends. `write` is a foreachBatch
+    writer; by default rows go to `root`/`name`/rows, a folder per micro-batch.
+    """
+    tune(df.sparkSession)
+    base = f"{root.rstrip('/')}/{name}"
+    writer = df.writeStream.queryName(f"{name}-{uuid.uuid4().hex[:8]}").foreachBatch(write or batch_log(f"{base}/rows")).outputMode(mode).option("checkpointLocation", f"{base}/checkpoint")
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def run_to_end(df: DataFrame, mode: str = "append", keys: Sequence[str] | None = None, order: Sequence[str] = (), each: Callable[[DataFrame], DataFrame] | None = None,
+               write: Write | None = None) -> DataFrame | None:
+    """Process all available input and return what was written.
 
-    Sink, checkpoint and state lie in the shared work folder. Each micro-batch overwrites its own folder, so a batch
-    that is run again after a failure changes nothing. In update mode the newest row of each of `keys` is returned.
+    With `keys` the rows are upserts (and, where `_deleted` is true, deletes) of a keyed table, and the table as it stands is returned; otherwise all
+    rows are. `each` is applied to every micro-batch before it is written. With a writer of its own nothing is returned. Sink, checkpoint and state
+    lie in the shared work folder. A bounded input is closed once everything else has been processed.
     """
     spark = tune(df.sparkSession)
-    base = f"{work_dir(spark)}/run-{uuid.uuid4().hex}"
-    query = (df.writeStream.foreachBatch(upsert_log(f"{base}/rows")).outputMode(mode)
-             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    base, source = f"{work_dir(spark)}/run-{uuid.uuid4().hex}", current()
+    table = schema = None
+    if write is None:
+        schema = each(spark.createDataFrame([], df.schema)).schema if each else df.schema
+        table = KeyedTable(spark, f"{base}/rows", schema, keys, order) if keys else None
+        sink = table.write if table else batch_log(f"{base}/rows")
+        write = (lambda batch, batch_id: sink(each(batch), batch_id)) if each else sink
+    run = lambda: start_job(df, "job", base, write, mode)
+    query = run()
     query.awaitTermination()
-    if late := late_rows(query):
+    late = late_rows(query)
+    if source and source.close():
+        run().awaitTermination()
+    if late:
         logging.getLogger(__name__).warning("%d rows came behind the watermark and were dropped", late)
-    return read_latest(spark, f"{base}/rows", df.schema, keys if mode == "update" else None)
+    if table:
+        return table.read()
+    return read_log(spark, f"{base}/rows", schema) if schema is not None else None

@@ -1,5 +1,7 @@
 """Shape of the physical plans."""
 
+import re
+
 import pytest
 
 from terrace.plans import job_queries, operator_queries
@@ -32,3 +34,16 @@ def test_topk_is_cut_before_the_shuffle(spark, sf_dir):
 
 def test_streak_needs_no_sort(spark, sf_dir):
     assert "Sort" not in physical(spark, sf_dir, "consecutive_days_mask")
+
+
+def scans(spark, sf_dir, name):
+    plan = BATCH[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    relations = re.findall(r"Relation \[([^\]]*)\]", plan)
+    return {table: sum(f"{table}_" in r for r in relations) for table in ("l", "o")}
+
+
+@pytest.mark.parametrize("report, daily", [("ads_order_stats", ["dws_trade_org_cargo_type_order_1d"]), ("ads_trans_stats", ["dws_trans_org_truck_model_type_trans_finish_1d"]),
+                                           ("ads_express_stats", ["dws_trans_org_deliver_suc_1d", "dws_trans_org_sort_1d"])])
+def test_reports_read_each_daily_table_once(spark, sf_dir, report, daily):
+    got, want = scans(spark, sf_dir, f"parcel_{report}"), [scans(spark, sf_dir, f"parcel_{name}") for name in daily]
+    assert all(got[table] <= sum(w[table] for w in want) for table in got)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from terrace.operators import union_history
 from terrace.plans import raw_shop, shop
 from terrace.plans.warehouse import Warehouse, derived_reader
-from terrace.sources import (append_missing, insert_partitions, observed, read_partition, read_text_table, register_table, replace_partitions,
+from terrace.sources import (append_missing, insert_partitions, observed, read_partition, read_text_table, register_table, replace_partitions, save_table,
                              write_partitions, write_text_table)
 
 
@@ -74,6 +74,35 @@ def test_days_published_one_after_the_other_equal_one_plan(spark, sf_dir, tmp_pa
     assert flow.groupBy("order_id").count().where("count > 1").isEmpty()
 
 
+def test_to_date_totals_over_days_that_were_not_published(spark, sf_dir, tmp_path):
+    """Days 1, 2 and 4 published one after the other give the totals of day 4 as one plan."""
+    root, names = str(tmp_path), ["dws_trade_user_order_td", "dws_user_user_login_td"]
+    reader = derived_reader(spark, sf_dir, raw_shop.RAW)
+    days = [date(1998, 6, 20), date(1998, 6, 23), date(1998, 6, 30)]
+    for day in days:
+        for name in names:
+            kept = {n: spark.read.orc(f"{root}/{n}") for n in names if (tmp_path / n).exists()}
+            Warehouse(reader, shop.JOBS, day, kept).publish(name, root)
+    for name in names:
+        whole = Warehouse(reader, shop.JOBS, days[-1])[name]
+        got = spark.read.schema(whole.schema).orc(f"{root}/{name}").where(F.col("dt") == days[-1].isoformat())
+        assert values(got.select(*whole.columns)) == values(whole), name
+
+
+def test_a_dimension_is_read_as_of_its_newest_day(spark):
+    dim = spark.createDataFrame([(1, "old", "2024-01-01"), (1, "new", "2024-01-03"), (1, "later", "2024-01-05")], "id int, name string, dt string")
+    assert Warehouse(None, {}, date(2024, 1, 4), {"dim_x_full": dim})["dim_x_full"].first().name == "new"
+
+
+def test_saved_table_replaces_all_of_it(spark, tmp_path):
+    table = f"saved_{tmp_path.name.replace('-', '_')}"
+    save_table(spark.createDataFrame([(1, "d1"), (2, "d2")], "id int, dt string"), table)
+    save_table(spark.createDataFrame([(3, "d2")], "id int, dt string"), table)
+    assert values(spark.table(table)) == values(spark.createDataFrame([(3, "d2")], "id int, dt string"))
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] == ["dt=d2"]
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_rows_are_counted_while_writing(spark, tmp_path):
     df, seen = observed(spark.range(7), "rows")
     df.write.parquet(str(tmp_path / "t"))
