@@ -1,276 +1,191 @@
-"""Bigram scores from the counts of the corpus itself, with every word and every count.
+"""Stupid-backoff scores of documents from the bigram and word counts of the corpus itself.
 
-Words are lower-cased (A-Z) runs of other characters than white space, known by a 64-bit hash of the whole word; bigrams by a 64-bit
-hash of both words. A bigram seen CUT times or more scores count(a b) / count(a). Stupid backoff would give one that isn't counted
-BACKOFF * count(b) / words; but all bigrams of the documents, their own included, are counted, so none of them backs off. The first
-word of a document scores count / words.
+Words are lower-cased (A-Z) runs of other characters than white space, known by a 64-bit hash of the whole word; n-grams by a 64-bit hash
+of their words. Counts cover every n-gram of every document, without a limit on the vocabulary. A document is scored with the counts
+of all others, its own taken off, so that no document vouches for itself: a bigram that others have scores count(a b) / count(a), any other backs off
+to BACKOFF * count(b) / words, as if its word were seen once and backed off again where no other document has it. The first word of a document scores
+count / words.
 
-All n-grams of the documents are dealt into buckets by their hash, as entries of a document, the n-gram, how often it is there, and
-how often its log counts for the score. A bucket has all entries of its n-grams, so it adds up their counts and returns the logs, summed per document;
-documents travel in blocks, so that it returns one row for a block and not one for each document in it. So that no bucket is filled by one n-gram,
+The steps are tables and joins:
 
-* the counts of very common words (a fixed share, so a bounded number of them) are sent to all tasks;
-* a bigram that many documents of a block have travels once for the block; its log comes back to the block, which holds its documents.
+* blocks: documents of a task, about BLOCK_WORDS words of them, as numbers of the block's distinct words (written once, read twice);
+* n-grams: the block's distinct n-grams with their counts in it, exploded into buckets by hash. An n-gram comes at most once from a
+  block, so the most common one is less than a 100,000th of all rows and needs no salt;
+* count tables: the sums per n-gram, partitioned by bucket, joined back to the n-grams of the blocks in the bucket;
+* scores: the totals of a block's n-grams, joined to the block and summed per document.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.common import byte_slices, staged
-from terrace.llm.near_dedup import _mix
+from terrace.llm.near_dedup import _mix, _whole_number
 
-#: For a model with a limited vocabulary: words below a 1 / 2**SHARE_BITS share of all count as one unknown word. None: every word counts.
-SHARE_BITS: int | None = None
-COMMON_BITS = 17
-HOT_BITS = 12
-CUT = 1
 BACKOFF = 0.4
-SLICE_BYTES = 1 << 21
-BUCKET_ENTRIES = 3_000_000
-BLOCK_WORDS = 2_000_000
-BLOCK_DOCS = 1 << 15  # places in a block are 16-bit numbers
-REMEMBERED_WORDS = 1 << 18
-UNKNOWN = 0
+SLICE_BYTES = 1 << 20
+BLOCK_WORDS = 400_000
+BUCKET_ENTRIES = 1_000_000
+BLOCK_SCHEMA = "block long, ids array<long>, lengths array<int>, words array<long>, sequence binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: both follow ASCII only
 
 
-def word_hash(words: list[bytes]) -> np.ndarray:
-    import xxhash
+def _lists(values: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """Slices of an array that end at `ends`, as lists."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(values))
 
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words)).view(np.int64)
 
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """From text: word (64-bit hash) and n, over all rows."""
+def blocks(docs: DataFrame) -> DataFrame:
+    """From id and text: block, ids, lengths (words of each document), words (sorted hashes) and sequence (places among them, compressed)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(word_hash(list(counts))), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-            counts.clear()
+        import xxhash
+
+        number = TaskContext.get().partitionId() << 24  # the same in a task that runs again
+        known: dict[bytes, int] = {}
+        ids: list[int | None] = []
+        lengths: list[int] = []
+        parts: list[np.ndarray] = []
+
+        def row() -> pa.RecordBatch:
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in known), np.uint64, len(known)).view(np.int64)
+            words, places = np.unique(hashes, return_inverse=True)
+            sequence = places.astype(np.int32)[np.concatenate(parts)] if parts else np.empty(0, np.int32)
+            out = pa.RecordBatch.from_arrays([
+                pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), _lists(words, np.array([len(words)])),
+                pa.array([pa.Codec("zstd").compress(sequence.tobytes(), asbytes=True)], pa.binary()),
+            ], names=["block", "ids", "lengths", "words", "sequence"])
+            for held in (known, ids, lengths, parts):
+                held.clear()
             return out
 
+        n = 0
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
-                for text in part.column("text").to_pylist():
-                    counts.update(words_of(text))
-                if len(counts) > REMEMBERED_WORDS:
-                    yield flush()
-        yield flush()
-
-    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-class Model:
-    """The counts of very common words, and with a limited vocabulary that of the unknown word. Of bounded size."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, limited: bool):
-        if limited:
-            words, counts = np.append(words, UNKNOWN), np.append(counts, total - counts.sum())
-        order = np.argsort(words)
-        self.words, self.counts, self.total, self.limited = words[order], counts[order], total, limited
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.hashes, self.common = np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def __getstate__(self):
-        return self.__dict__ | {"known": {}, "hashes": self.hashes[:0], "common": self.common[:0]}
-
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of each word, and its count if it is very common, else 0."""
-        new = set(words).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.forget()
-            new = set(words)
-        if new:
-            order = list(new)
-            hashes, counts = word_hash(order), np.zeros(len(order), np.int64)
-            if len(self.words):
-                at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-                if self.limited:
-                    at = np.where(self.words[at] == hashes, at, np.searchsorted(self.words, UNKNOWN))
-                    hashes = self.words[at]
-                counts = np.where(self.words[at] == hashes, self.counts[at], 0)
-            self.known.update(zip(order, range(len(self.known), len(self.known) + len(order)), strict=True))
-            self.hashes, self.common = np.append(self.hashes, hashes), np.append(self.common, counts)
-        ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        return self.hashes[ids], self.common[ids]
-
-
-def _flat(table: pa.Table, column: str) -> np.ndarray:
-    values = table.column(column).combine_chunks()
-    values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
-    return values.flatten().to_numpy(zero_copy_only=False)
-
-
-def _runs(*keys: np.ndarray) -> np.ndarray:
-    """Where runs of equal values start."""
-    new = np.ones(len(keys[0]), bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    return np.flatnonzero(new)
+                for doc_id, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    words = words_of(text)
+                    parts.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words)))
+                    ids.append(doc_id)
+                    lengths.append(len(words))
+                    n += len(words)
+                    if n >= BLOCK_WORDS or len(ids) >= BLOCK_WORDS:
+                        yield row()
+                        number, n = number + 1, 0
+        if ids:
+            yield row()
 
-
-def _entries(keys: np.ndarray, docs: np.ndarray, weights: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Occurrences, in the order of their documents, to entries: sorted keys, docs, counts, summed weights, and `common` of the key."""
-    order = np.argsort(keys, kind="stable")
-    keys, docs = keys[order], docs[order]
-    first = _runs(keys, docs)
-    weights = np.add.reduceat(weights[order], first) if len(first) else weights
-    return keys[first], docs[first], np.diff(np.append(first, len(keys))), weights, common[order[first]]
-
-
-def _by_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """The edges of the buckets among sorted keys: a bucket is a range of the keys' upper halves."""
-    return np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+    return docs.mapInArrow(run, BLOCK_SCHEMA)
 
 
 class Block:
-    """Documents of one task, as many as make BLOCK_WORDS words."""
-
-    def __init__(self):
-        self.ids: list = []
-        self.lengths: list[np.ndarray] = []
-        self.sums: list[np.ndarray] = []
-        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
-        self.words: list[tuple[np.ndarray, ...]] = []
-        self.n_docs = self.n_words = 0
-
-    def add(self, model: Model, ids: list, texts: list[str | None]) -> None:
-        cut = [words_of(text) for text in texts]
-        lengths = np.array([len(w) for w in cut], np.int64)
-        hashes, common = model.look_up([w for ws in cut for w in ws])
-        doc = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
-        new = np.ones(len(doc) + 1, bool)  # whether a document starts here
-        new[1:-1] = doc[1:] != doc[:-1]
-        weights = new[:-1].astype(np.int64) - ~new[1:]  # the first word's log counts; that of a word before another is taken off
-        self.sums.append(np.where(lengths > 0, -np.log(max(model.total, 1)), 0.0))
-        unsigned = hashes.view(np.uint64)
-        keys, inside = _mix(_mix(unsigned[:-1]) + unsigned[1:]), ~new[1:-1]
-        doc += np.int32(self.n_docs)
-        self.pairs.append((keys[inside], doc[1:][inside]))
-        self.words.append((unsigned, doc, weights, common))
-        self.ids += ids
-        self.lengths.append(lengths)
-        self.n_docs += len(texts)
-        self.n_words += len(doc)
-
-    def rows(self, number: int, buckets: int) -> pa.RecordBatch:
-        keys, docs = (np.concatenate(x) for x in zip(*self.pairs, strict=True))
-        keys, docs, counts, *_ = _entries(keys, docs, *[np.empty(len(keys), np.int8)] * 2)
-        first = _runs(keys)
-        holders = np.diff(np.append(first, len(keys)))
-        hot_run = holders > max(len(keys) >> HOT_BITS, 3)
-        hot = np.repeat(hot_run, holders)
-        slots = np.repeat(np.cumsum(hot_run) - 1, holders)[hot]
-        hot_keys, hot_counts = keys[first[hot_run]], np.bincount(slots, counts[hot], hot_run.sum()).astype(np.int32)
-        own = docs[hot], slots, counts[hot]
-        pairs = keys[~hot], docs[~hot], counts[~hot], counts[~hot]
-        words = _entries(*(np.concatenate(x) for x in zip(*self.words, strict=True)))
-        common = words[4] > 0
-        sums = np.concatenate(self.sums) + np.bincount(words[1][common], np.log(words[4][common]) * words[3][common], self.n_docs)
-        words = [x[~common] for x in words]
-        edges = [_by_bucket(x, buckets) for x in (pairs[0], words[0], hot_keys)]
-        rows, slot = [], np.arange(len(hot_keys), dtype=np.int32)
-        for b in range(buckets):
-            p, w, h = (slice(e[b], e[b + 1]) for e in edges)
-            if p.start < p.stop or w.start < w.stop or h.start < h.stop:
-                rows.append((b, np.concatenate([pairs[0][p], words[0][w], hot_keys[h]]).view(np.int64), np.concatenate([pairs[2][p], words[2][w], hot_counts[h]]).astype(np.int32),
-                             np.concatenate([pairs[1][p], words[1][w]]).astype(np.int16), np.concatenate([pairs[3][p], words[3][w]]).astype(np.int32), slot[h]))
-        none = [[]] * len(rows)
-        rows.append((number % buckets, *[[]] * 5))
-        own = [self.ids, np.concatenate(self.lengths), sums, *own]
-        kinds = [pa.int64(), pa.int32(), pa.int16(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([
-            pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()),
-            *(pa.array([r[i + 1] for r in rows], pa.list_(kind)) for i, kind in enumerate(kinds)),
-            *(pa.array([*none, x], pa.list_(kind)) for x, kind in zip(own, OWN.values(), strict=True)),
-        ], names=["bucket", "block", "keys", "counts", "docs", "weights", "slots", *OWN])
-
-
-#: What one row of each block holds: per document its id, number of words and the logs known so far; and per document and common bigram the place of
-#: both in the block and how often it is there.
-OWN = {"ids": pa.int64(), "words": pa.int64(), "sums": pa.float64(), "hot_docs": pa.int32(), "hot_slots": pa.int32(), "hot_counts": pa.int32()}
-OWN_SCHEMA = "ids array<long>, words array<long>, sums array<double>, hot_docs array<int>, hot_slots array<int>, hot_counts array<int>"
-
-
-def document_entries(docs: DataFrame, model, buckets: int) -> DataFrame:
-    """From id and text: bucket, block, keys, counts, then docs and weights of the first keys and slots (places of common bigrams) of
-    the others. One row of each block also holds what is in OWN."""
+    """The n-grams of a block's documents."""
+
+    def __init__(self, lengths: np.ndarray, words: np.ndarray, sequence: bytes):
+        self.lengths = lengths
+        n = int(lengths.sum())
+        self.sequence = np.frombuffer(pa.Codec("zstd").decompress(sequence, 4 * n, asbytes=True), np.int32) if n else np.empty(0, np.int32)
+        self.doc = np.repeat(np.arange(len(lengths)), lengths)
+        self.inside = np.flatnonzero(self.doc[1:] == self.doc[:-1])  # places with a word of their document behind them
+        unsigned = words.view(np.uint64)
+        first, second = unsigned[self.sequence[self.inside]], unsigned[self.sequence[self.inside + 1]]
+        pairs = _mix(_mix(first) + second)
+        # The block's n-grams in the order of their hashes, the place of each of its words among them, and that of each pair of words.
+        self.keys, at = np.unique(np.concatenate([_mix(unsigned + np.uint64(1)), pairs]), return_inverse=True)
+        self.word, self.pair = at[:len(words)][self.sequence], at[len(words):]
+
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.word, minlength=len(self.keys)) + np.bincount(self.pair, minlength=len(self.keys))
+
+    def edges(self, buckets: int) -> np.ndarray:
+        """Where the buckets lie among the keys: a bucket is a range of the keys' upper halves."""
+        return np.searchsorted((self.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+
+    def own(self, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """How often an n-gram is in its own document."""
+        _, which, counts = np.unique(doc * np.int64(len(self.keys)) + at, return_inverse=True, return_counts=True)
+        return counts[which]
+
+    def scores(self, totals: np.ndarray, total: int) -> np.ndarray:
+        """Sums of logs per document."""
+        others = np.maximum(total - self.lengths, 1)[self.doc]
+        alone = (totals[self.word] - self.own(self.doc, self.word)).astype(float)
+        unigram = np.log(np.where(alone > 0, alone, BACKOFF) / others)
+        pair = totals[self.pair] - self.own(self.doc[self.inside], self.pair)
+        logs = unigram.copy()  # the first word of a document
+        with np.errstate(divide="ignore"):
+            logs[self.inside + 1] = np.where(pair > 0, np.log(pair) - np.log(alone[self.inside]), np.log(BACKOFF) + unigram[self.inside + 1])
+        return np.bincount(self.doc, logs, len(self.lengths))
+
+
+def _block(row: dict) -> Block:
+    return Block(row["lengths"], row["words"], row["sequence"])
+
+
+def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    for i in range(batch.num_rows):
+        yield {"block": batch.column("block")[i].as_py(), "ids": batch.column("ids")[i].values, "lengths": batch.column("lengths")[i].values.to_numpy(),
+               "words": batch.column("words")[i].values.to_numpy(), "sequence": batch.column("sequence")[i].as_py()}
+
+
+def ngrams(blocks: DataFrame, buckets: int) -> DataFrame:
+    """bucket, block, keys and counts of each block's n-grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, block = TaskContext.get().partitionId() << 24, Block()  # the same in a task that runs again
         for batch in batches:
-            for part in byte_slices(batch, "text", SLICE_BYTES):
-                for start in range(0, part.num_rows, BLOCK_DOCS):
-                    some = part.slice(start, BLOCK_DOCS)
-                    if block.n_docs and (block.n_words > BLOCK_WORDS or block.n_docs + some.num_rows > BLOCK_DOCS):
-                        yield block.rows(number, buckets)
-                        number, block = number + 1, Block()
-                    block.add(model.value, some.column("id").to_pylist(), some.column("text").to_pylist())
-        if block.n_docs:
-            yield block.rows(number, buckets)
+            for row in _rows(batch):
+                block = _block(row)
+                edges = block.edges(buckets)
+                held = np.flatnonzero(edges[1:] > edges[:-1])
+                ends = edges[1:][held]
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([row["block"]] * len(held), pa.int64()), _lists(block.keys.view(np.int64), ends),
+                                                  _lists(block.counts().astype(np.int32), ends)], names=["bucket", "block", "keys", "counts"])
 
-    return docs.mapInArrow(run, f"bucket int, block long, keys array<long>, counts array<int>, docs array<short>, weights array<int>, slots array<int>, {OWN_SCHEMA}")
+    return blocks.mapInArrow(run, "bucket int, block long, keys array<long>, counts array<int>")
+
+
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    return pa.concat_arrays([chunk.flatten() for chunk in table.column(column).chunks]).to_numpy(zero_copy_only=False)
 
 
-def bucket_logs(table: pa.Table) -> pa.Table:
-    """The logs of the counts over all of a bucket's rows: summed per document in each row, and those of the row's common bigrams."""
+def joined_counts(table: pa.Table) -> pa.Table:
+    """One bucket: its part of the count tables (an n-gram's sum over all blocks), joined to the n-grams of each block."""
+    ends = np.cumsum([len(x) for chunk in table.column("keys").chunks for x in chunk])
     found, at = np.unique(_flat(table, "keys"), return_inverse=True)
-    logs = np.log(np.bincount(at, _flat(table, "counts"), len(found)))[at]
-    docs, weights = _flat(table, "docs"), _flat(table, "weights")
-    ends = lambda column: np.cumsum([0, *pc.list_value_length(table.column(column)).to_pylist()])
-    k, d, sums, common = ends("keys"), ends("docs"), [], []
-    for i in range(table.num_rows):
-        n = d[i + 1] - d[i]
-        mine = logs[k[i]:k[i + 1]]
-        places, where = np.unique(docs[d[i]:d[i + 1]], return_inverse=True)
-        sums.append((places, np.bincount(where, mine[:n] * weights[d[i]:d[i + 1]], len(places))))
-        common.append(mine[n:])
-    return pa.table({"block": table.column("block"), "docs": pa.array([x for x, _ in sums], pa.list_(pa.int16())), "logs": pa.array([x for _, x in sums], pa.list_(pa.float64())),
-                     "slots": table.column("slots"), "slot_logs": pa.array(common, pa.list_(pa.float64())), **{c: table.column(c) for c in OWN}})
-
-
-def add_blocks(table: pa.Table) -> pa.Table:
-    """One row per document of a block: what its own row holds, and the logs from all buckets."""
-    ids = table.column("ids").combine_chunks().flatten()
-    slots = np.zeros(len(_flat(table, "slots")))
-    slots[_flat(table, "slots")] = _flat(table, "slot_logs")
-    sums = _flat(table, "sums") + np.bincount(_flat(table, "docs"), _flat(table, "logs"), len(ids))
-    sums += np.bincount(_flat(table, "hot_docs"), _flat(table, "hot_counts") * slots[_flat(table, "hot_slots")], len(ids))
-    return pa.table({"id": ids, "n_words": table.column("words").combine_chunks().flatten(), "log_score": pa.array(sums)})
+    counts = np.bincount(at, _flat(table, "counts"), len(found)).astype(np.int64)
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "totals": _lists(counts[at], ends)})
 
 
 def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Return id, n_words, log_score (sum of natural logs) and mean_log (log_score / n_words, null without words) for every id.
 
-    Ids are whole numbers and name documents: rows of one id, or of no id, are scored together as one document, without a bigram
-    across rows. A null text has no words; a document without words has log_score 0. An empty table gives an empty one. Other columns
-    are ignored.
+    Ids are whole numbers (another type is an error) and name documents: rows of one id, or of no id, are scored each for itself, and their scores added up. A copy of a document
+    elsewhere counts as another one. A null text has no words; a document without words has log_score 0. In a corpus of one document nothing but backing off is left.
+    An empty table gives an empty one. Other columns are ignored.
     """
     spark = docs.sparkSession
-    id_type = docs.schema[id_column].dataType
+    id_type = _whole_number(docs, id_column)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    counted = staged(word_counts(rows), "words")
-    total = counted.agg(F.sum("n")).head()[0] or 0
-    bits = COMMON_BITS if SHARE_BITS is None else SHARE_BITS
-    common = counted.filter(F.col("n") * F.lit(1 << bits) >= F.lit(total)).toPandas()  # at most 2 ** bits rows
-    model = Model(common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64), total, SHARE_BITS is not None)
-    buckets = max(9, -(-3 * total // (2 * BUCKET_ENTRIES)), int(spark.conf.get("spark.sql.shuffle.partitions"))) | 1
-    entries = document_entries(rows, spark.sparkContext.broadcast(model), buckets)
-    logs = entries.groupBy("bucket").applyInArrow(bucket_logs, f"block long, docs array<short>, logs array<double>, slots array<int>, slot_logs array<double>, {OWN_SCHEMA}")
-    partial = logs.groupBy("block").applyInArrow(add_blocks, "id long, n_words long, log_score double")
+    held = staged(blocks(rows), "blocks")
+    total = held.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))).head()[0] or 0
+    buckets = max(-(-total // BUCKET_ENTRIES), int(spark.conf.get("spark.sql.shuffle.partitions"))) | 1
+    counted = ngrams(held, buckets).groupBy("bucket").applyInArrow(joined_counts, "block long, bucket int, totals array<long>")
+
+    def score(table: pa.Table) -> pa.Table:
+        """One block: its own row, and the totals of its n-grams from every bucket."""
+        table = table.sort_by("bucket")  # the block's own row has none and comes last
+        row = next(_rows(table.slice(table.num_rows - 1)))
+        totals = _flat(table.slice(0, table.num_rows - 1), "totals") if table.num_rows > 1 else np.empty(0, np.int64)
+        return pa.table({"id": row["ids"], "n_words": pa.array(row["lengths"], pa.int64()), "log_score": pa.array(_block(row).scores(totals, total), pa.float64())})
+
+    own = held.withColumns({"bucket": F.lit(None).cast("int"), "totals": F.lit(None).cast("array<long>")})
+    both = own.unionByName(counted, allowMissingColumns=True)
+    partial = both.groupBy("block").applyInArrow(score, "id long, n_words long, log_score double")
     scores = partial.groupBy("id").agg(F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score"))
     return scores.select(F.col("id").cast(id_type).alias(id_column), "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log"))

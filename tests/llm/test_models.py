@@ -5,7 +5,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from terrace.llm import language_id, lm_scoring, quality_classifier
 from terrace.llm.common import documents
@@ -56,48 +55,57 @@ def test_language_of_texts_without_letters(spark):
     assert {r.lang_pred for r in language_id.predict(docs, {}).collect()} == {"und"}
 
 
-def brute_scores(texts, bits):
+def brute_scores(texts):
     docs = {k: lm_scoring.words_of(t) for k, t in texts.items()}
-    counts = Counter(w for ws in docs.values() for w in ws)
-    total = sum(counts.values())
-    known = {w for w, n in counts.items() if n << bits >= total}
-    docs = {k: [w if w in known else None for w in ws] for k, ws in docs.items()}
     one, two = Counter(w for ws in docs.values() for w in ws), Counter(p for ws in docs.values() for p in zip(ws, ws[1:]))
-    score = lambda a, b: math.log(two[a, b] / one[a]) if two[a, b] >= lm_scoring.CUT else math.log(lm_scoring.BACKOFF * one[b] / total)
-    return {k: (len(ws), (math.log(one[ws[0]] / total) if ws else 0.0) + sum(score(a, b) for a, b in zip(ws, ws[1:]))) for k, ws in docs.items()}
+    total = sum(one.values())
 
+    def score(words):
+        mine, pairs, others = Counter(words), Counter(zip(words, words[1:])), max(total - len(words), 1)
+        word = lambda w: math.log(((one[w] - mine[w]) or lm_scoring.BACKOFF) / others)
+        pair = lambda a, b: math.log((two[a, b] - pairs[a, b]) / (one[a] - mine[a])) if two[a, b] > pairs[a, b] else math.log(lm_scoring.BACKOFF) + word(b)
+        return (word(words[0]) if words else 0.0) + sum(pair(a, b) for a, b in zip(words, words[1:]))
+    return {k: (len(ws), score(ws)) for k, ws in docs.items()}
 
-def test_scores_against_brute_force(spark, sf_dir, texts, monkeypatch):
-    docs = documents(spark, sf_dir)
-    for share, hot in ((17, 16), (9, 10)):  # the second has an unknown word and common pairs
-        monkeypatch.setattr(lm_scoring, "SHARE_BITS", share)
-        monkeypatch.setattr(lm_scoring, "HOT_BITS", hot)
-        got, want = {r.doc_id: r for r in lm_scoring.lm_scores(docs).collect()}, brute_scores(texts, share)
-        assert set(got) == set(want)
-        for k, (n, score) in want.items():
-            assert got[k].n_words == n and math.isclose(got[k].log_score, score, rel_tol=1e-9, abs_tol=1e-9)
 
+def check_scores(docs, texts):
+    got, want = {r.doc_id: r for r in lm_scoring.lm_scores(docs).collect()}, brute_scores(texts)
+    assert set(got) == set(want)
+    for k, (n, score) in want.items():
+        assert got[k].n_words == n and math.isclose(got[k].log_score, score, rel_tol=1e-9, abs_tol=1e-9)
 
-def test_rows_of_one_id_are_scored_together(spark):
+
+def test_scores_against_brute_force(spark, sf_dir, texts):
+    check_scores(documents(spark, sf_dir), texts)
+
+
+def test_scores_over_many_blocks_and_buckets(spark, sf_dir, texts, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", 700)
+    monkeypatch.setattr(lm_scoring, "BUCKET_ENTRIES", 3000)
+    check_scores(documents(spark, sf_dir), texts)
+
+
+def test_rows_of_one_id_are_added_up(spark):
     docs = spark.createDataFrame([(1, "a b a b"), (1, "a b"), (2, None), (3, "")], "doc_id long, text string")
     got = {r.doc_id: r for r in lm_scoring.lm_scores(docs).collect()}
-    assert got[1].n_words == 6 and got[2].n_words == 0 and got[3].log_score == 0 and got[2].mean_log is None
-    assert docs.agg(F.count("*")).first()[0] == 4
+    one = math.log(1 / 2) + 2 * math.log(1 / 1) + math.log(0.4) + math.log(1 / 2)  # b a backs off
+    two = math.log(2 / 4) + math.log(2 / 2)
+    assert got[1].n_words == 6 and math.isclose(got[1].log_score, one + two)
+    assert got[2].n_words == 0 and got[3].log_score == 0 and got[2].mean_log is None
 
 
-def test_a_bigram_seen_once_keeps_its_count(spark):
-    docs = spark.createDataFrame([(1, "a b c"), (2, "a d")], "doc_id long, text string")
+def test_pairs_and_words_that_no_other_document_has_back_off(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a d a"), (3, "A b")], "doc_id long, text string")
     got = {r.doc_id: r.log_score for r in lm_scoring.lm_scores(docs).collect()}
-    assert math.isclose(got[1], math.log(2 / 5) + math.log(1 / 2) + math.log(1 / 1)) and math.isclose(got[2], math.log(2 / 5) + math.log(1 / 2))
+    assert math.isclose(got[1], math.log(3 / 5) + math.log(1 / 3) + math.log(0.4 * 0.4 / 5))
+    assert math.isclose(got[2], math.log(2 / 5) + math.log(0.4 * 0.4 / 5) + math.log(0.4 * 2 / 5))
+    assert math.isclose(got[3], math.log(3 / 6) + math.log(1 / 3))
+
+
+def test_a_lone_document_only_backs_off(spark):
+    assert math.isclose(lm_scoring.lm_scores(spark.createDataFrame([(1, "a a b")], "doc_id long, text string")).first().log_score, math.log(0.4) + 2 * math.log(0.4 * 0.4))
 
 
-def test_rare_words_of_a_large_corpus_keep_their_own_counts(spark, monkeypatch):
-    """More than 2**17 words in all, so that a word seen once has less than a 2**-17 share."""
+def test_rare_words_of_a_large_corpus_keep_their_own_counts(spark):
     texts = {1: "f " * 150_000, 2: "u v", 3: "x y", 4: "u z", 5: "c d", **{i: "c d" for i in range(6, 12)}}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    for block in (lm_scoring.BLOCK_WORDS, 1):
-        monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", block)
-        got = {r.doc_id: r.log_score for r in lm_scoring.lm_scores(docs).collect()}
-        total = 150_000 + 2 * 10
-        assert math.isclose(got[2], math.log(2 / total) + math.log(1 / 2)) and math.isclose(got[3], math.log(1 / total)) and math.isclose(got[5], math.log(7 / total))
-        assert math.isclose(got[1], math.log(150_000 / total) + 149_999 * math.log(149_999 / 150_000))
+    check_scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), texts)
