@@ -106,7 +106,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int
     sources = staged(targets(sources, weight, most_times), "targets")
     total, least = sources.filter("target > 0").agg(F.sum("size"), F.min("target")).head()
     block = max(1, min(block_words, int((least or 0) / LEAST_BLOCKS)))
-    whole = sources.filter("target > 0").select(F.lit(0).alias("all"), "number", F.col("target").alias("share"))
+    whole = sources.filter("target > 0").select(F.pmod("number", F.lit(1)).alias("all"), "number", F.col("target").alias("share"))  # one group, by a column: a literal would make the joins cross joins
     seats = whole.select("all").distinct().withColumn("seats", F.lit(round((total or 0) / block)).cast("long"))
     quotas = apportion(whole, seats, ["all"], "number", "sources")
 
