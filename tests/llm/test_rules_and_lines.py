@@ -43,12 +43,20 @@ def test_clean_documents_stay_and_junk_goes(spark, sf_dir):
 
 def test_boilerplate_is_relative_to_its_site(spark):
     pages = [(i, f"Menu \nbody {i}\n\nMenu", "big") for i in range(30)] + [(100 + i, f"Menu\nother {i}", "small") for i in range(6)] + [(200, "Menu\nx", None), (201, None, "big")]
+    pages += [(300 + i, "Menu\npage" + str(i), "rare") if i < 6 else (300 + i, f"page {i}", "rare") for i in range(40)]
     docs = spark.createDataFrame(pages, "doc_id long, text string, source string").withColumn("n_chars", F.char_length("text").cast("long"))
-    rows = {r.doc_id: r for r in line_dedup.line_dedup(docs, ratio=0.5, min_pages=20, min_hits=5).collect()}
+    rows = {r.doc_id: r for r in line_dedup.line_dedup(docs).collect()}
     assert rows[3].text == "body 3\n" and (rows[3].n_lines, rows[3].n_dropped) == (3, 2)
-    assert rows[101].text == "Menu\nother 1" and rows[200].text == "Menu\nx" and rows[201].text is None
-    shorter = {r.doc_id: r for r in line_dedup.without_boilerplate(docs, ratio=0.5).collect()}
-    assert shorter[3].n_chars == 7 and shorter[101].n_chars == 12 and shorter[201].n_chars is None
+    assert rows[101].text == "other 1" and rows[200].text == "Menu\nx" and rows[201].text is None
+    assert rows[301].text == "Menu\npage1"  # on 6 of 40 pages, which chance alone could give a line with a share of 5 %
+    shorter = {r.doc_id: r for r in line_dedup.without_boilerplate(docs).collect()}
+    assert shorter[3].n_chars == 7 and shorter[101].n_chars == 7 and shorter[201].n_chars is None and shorter[301].n_chars == 10
+
+
+@pytest.mark.parametrize("n, hits, dropped", [(1, 1, False), (2, 2, False), (3, 3, True), (4, 4, True), (4, 3, True), (4, 2, False), (19, 19, True), (19, 5, True), (19, 4, False), (100, 13, True), (100, 12, False)])
+def test_few_pages_need_a_larger_share(spark, n, hits, dropped):
+    docs = spark.createDataFrame([(i, f"line {i}" + ("\nMenu" if i < hits else ""), "s") for i in range(n)], "doc_id long, text string, source string")
+    assert {r.n_dropped for r in line_dedup.line_dedup(docs).filter(f"doc_id < {hits}").collect()} == {int(dropped)}
 
 
 def test_text_of_boilerplate_only_becomes_empty(spark):
