@@ -3,8 +3,9 @@
 A text is a sequence of words. A run of K words is an anchor if the smallest hash among its inner runs of S words is that of its
 first or last one. Whether a run is chosen depends on nothing outside it, so equal passages give equal anchors wherever they stand,
 and any K - S + 1 successive runs hold an anchor. In front of a text stand K - 1 empty words, so that short texts have anchors
-too. The anchors in their order, each once, are the fingerprint; likeness is the share of anchors in common (Dice). All of it is
-DataFrame functions.
+too. The anchors with their places, in order, are the fingerprint. For the likeness of two texts their anchors are matched, each with the next
+equal one of the other text, and the matches that agree in how far the places are apart are counted (as a share of all anchors, Dice):
+passages in another order, or the same passage again and again, do not add up. All of it is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -12,7 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.llm.common import once
+
 K, S = 7, 2
+#: Matches agree if they fall in two neighbouring bands of offsets; a band is an eighth of the longer text, and this many words at least.
+BAND_PARTS, LEAST_BAND = 8, 16
 GAPS = r"[\x20\x09-\x0D]+"
 
 
@@ -35,7 +40,7 @@ def _chosen(inner: Column) -> Column:
 
 
 def with_anchors(rows: DataFrame, text_column: str, name: str) -> DataFrame:
-    """Add the anchors of a text that isn't null as an array of 32-bit hashes in the order of their places, each once.
+    """Add the anchors of a text that isn't null as an array of place (of its first word) and 32-bit hash, in order.
 
     Steps are columns of their own, so that each is computed once. A text without words has no anchors.
     """
@@ -45,17 +50,45 @@ def with_anchors(rows: DataFrame, text_column: str, name: str) -> DataFrame:
     chosen = inner.select(*names, "_inner", _chosen(F.col("_inner")).alias("_chosen"))
     parts = [*range(0, K - S, S), K - S]  # inner runs that cover the K words
     anchor = lambda i: F.hash(*(F.get(F.col("_inner"), i + j) for j in parts))
-    return chosen.select(*names, F.array_distinct(F.transform("_chosen", anchor)).alias(name))
+    return chosen.select(*names, F.transform("_chosen", lambda i: F.struct(i.alias("at"), anchor(i).alias("hash"))).alias(name))
+
+
+def _offsets(a: Column, b: Column) -> Column:
+    """How far matching anchors are apart."""
+    side = lambda anchors, n: F.transform(anchors, lambda x: F.struct(x["hash"].alias("hash"), x["at"].alias("at"), F.lit(n).alias("side")))
+
+    def pairs(both: Column) -> Column:
+        def offset(x: Column, i: Column) -> Column:
+            following = F.get(both, i + 1)
+            away = F.when(x["side"] == 0, following["at"] - x["at"]).otherwise(x["at"] - following["at"])
+            return F.when((following["hash"] == x["hash"]) & (following["side"] != x["side"]), away)
+        return F.filter(F.transform(both, offset), lambda d: d.isNotNull())
+    return once(F.array_sort(F.concat(side(a, 0), side(b, 1))), pairs)
+
+
+def _most_in_two_bands(bands: Column) -> Column:
+    """The most numbers that are equal to, or one above, some number."""
+    start = F.struct(F.lit(-(1 << 40)).alias("band"), F.lit(0).alias("here"), F.lit(0).alias("below"), F.lit(0).alias("most"))
+
+    def add(s: Column, x: Column) -> Column:
+        same = x == s["band"]
+        here = F.when(same, s["here"] + 1).otherwise(1)
+        below = F.when(same, s["below"]).when(x == s["band"] + 1, s["here"]).otherwise(0)
+        return F.struct(x.alias("band"), here.alias("here"), below.alias("below"), F.greatest(s["most"], here + below).alias("most"))
+    return F.aggregate(F.array_sort(bands), start, add)["most"]
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Twice the anchors in common over all anchors; 1 for two texts without any."""
+    """Twice the anchors that match at places equally far apart over all anchors; 1 for two texts without any."""
     total = F.size(a) + F.size(b)
-    return F.when(total == 0, 1.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / total)
+    last = lambda x: F.coalesce(F.get(x, F.size(x) - 1)["at"], F.lit(0))
+    band = F.greatest(F.lit(LEAST_BAND), F.floor(F.greatest(last(a), last(b)) / BAND_PARTS))
+    most = once(band, lambda w: _most_in_two_bands(F.transform(_offsets(a, b), lambda d: F.floor(d / w))))
+    return F.when(total == 0, 1.0).otherwise(2.0 * F.least(most, F.size(a), F.size(b)) / total)
 
 
 def as_text(anchors: Column) -> Column:
-    return F.array_join(anchors.cast("array<string>"), " ")
+    return F.array_join(F.transform(anchors, lambda x: F.concat_ws(":", x["at"], x["hash"])), " ")
 
 
 def _bounds(rows: DataFrame, key: str, buckets: int) -> tuple[list[int], int | None]:
