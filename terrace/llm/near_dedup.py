@@ -1,7 +1,7 @@
 """MinHash near-dedup with bottom-k sketches from one hash function.
 
 A document's set is its distinct word shingles, as 64-bit hashes. The K smallest are its sketch. Documents of equal sets are one
-class from the start, so exact copies never meet in a list. Candidates come from inverted lists of retained values:
+class from the start, so exact copies never meet in a list; classes are numbered, and a class is known by one text of it, which is found by two hashes. Candidates come from inverted lists of retained values:
 
 * Two sets of similarity t share about t of their sketches; less than share_of(t) of it only with a probability under MISSED. Sketches
   that overlap in a share have a value in common among the rarest rest (1 - share) of each, so only these enter the lists (prefix filter).
@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.llm.common import byte_slices, staged
 
@@ -34,8 +35,9 @@ K = 64
 MISSED = 1e-6  # with what probability sets at the limit may have less of their sketches in common than `share_of` says
 SHORT_LIST = 12
 PIVOTS = 3
-#: Ids are sent to all executors only up to this number (8 bytes each); beyond it the texts are joined by a shuffle.
-MOST_SENT_IDS = 1 << 20
+#: Places of texts are sent to all executors only up to this number (24 bytes each); beyond it the texts are joined by a shuffle.
+MOST_SENT_PLACES = 1 << 19
+PLACE = ["place", "place2"]
 
 _WORDS: dict[bytes, int] = {}
 REMEMBERED_WORDS = 1 << 18
@@ -86,8 +88,14 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def placed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """id, text, and two hashes of the text that tell it from all others."""
+    text = F.col(text_column)
+    return docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("place"), F.xxhash64(F.lit(1), text).alias("place2"))
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """From id and text: id, n (size of the set), sig (128-bit digest of the set, null if empty), values (sketch), brief (its upper 31 bits, in the same order)."""
+    """From id, text and its place: id, place, n (size of the set), sig (128-bit digest of the set, null if empty), values (sketch), brief (its upper 31 bits, in the same order)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -95,19 +103,20 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             for part in byte_slices(batch, "text", SLICE_BYTES):
                 sets = [shingle_set(text, width) for text in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    *(part.column(c) for c in ("id", *PLACE)), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([s[:K] for s in sets], pa.list_(pa.int64())), pa.array([(s[:K] >> 32).astype(np.int32) for s in sets], pa.list_(pa.int32())),
-                ], names=["id", "n", "sig", "values", "brief"])
+                ], names=["id", *PLACE, "n", "sig", "values", "brief"])
 
-    return docs.mapInArrow(run, "id long, n long, sig binary, values array<long>, brief array<int>")
+    return docs.mapInArrow(run, "id long, place long, place2 long, n long, sig binary, values array<long>, brief array<int>")
 
 
-def only(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """Rows whose column is among the ids (a staged table of one column)."""
-    ids = ids.withColumnRenamed(ids.columns[0], "_only")
-    if ids.count() <= MOST_SENT_IDS:
-        ids = F.broadcast(ids)
-    return rows.join(ids, rows[column] == ids["_only"], "left_semi")
+def class_texts(rows: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """id (of the class) and text for the classes whose ids are given (a staged table of one column)."""
+    wanted = classes.join(ids.withColumnRenamed(ids.columns[0], "id"), "id", "left_semi").select("id", *PLACE)
+    wanted = staged(wanted, "wanted")
+    if wanted.count() <= MOST_SENT_PLACES:
+        wanted = F.broadcast(wanted)
+    return rows.select("text", *PLACE).join(wanted, PLACE).dropDuplicates(["id"]).select("id", "text")
 
 
 def whole_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -192,7 +201,7 @@ def confirmed_by_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFr
     return both.filter(100 * shared >= percent * (F.size("a_values") + F.size("b_values") - shared)).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a staged table) whose whole sets are similar enough. Only the texts of classes in pairs are read into the joins."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +211,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
                 yield pa.RecordBatch.from_arrays([part.column("a").filter(ok), part.column("b").filter(ok)], names=["a", "b"])
 
     ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "paired")
-    texts = only(docs, ids, "id").dropDuplicates(["id"])
+    texts = class_texts(rows, classes, ids)
     side = lambda name: texts.select(F.col("id").alias(name), F.col("text").alias(f"{name}_text"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
@@ -228,20 +237,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Return id, n_shingles, component_id and kept for every row.
-
-    Documents are linked if 100 * shared >= percent * united shingles; component_id is the smallest id that can be reached, and kept
-    says that it is the row's own. A null text, or one without words, has 0 shingles and no link. Rows of one id and text are one
-    document, so that all of them are kept or none. A row without an id links nothing: it is in the component of a document with the
-    same set, and where there is none its component_id is null and kept true. Ids are whole numbers. An empty table gives an empty one; other columns
-    are ignored.
-    """
-    id_type = docs.schema[id_column].dataType
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+def _grouped(docs: DataFrame, width: int, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """For every row: id, place, n, component (the smallest id of its group), kept."""
+    rows = placed(docs, id_column, text_column)
     sets = staged(sketches(rows, width), "sets")
-    named = sets.filter("n > 0 AND id IS NOT NULL")
-    classes = staged(named.groupBy("sig").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.any_value("values").alias("values"), F.any_value("brief").alias("brief")), "classes")
+    classes = sets.filter("n > 0").groupBy("sig").agg(F.min("id").alias("doc"), F.min("n").alias("n"), F.any_value("values").alias("values"), F.any_value("brief").alias("brief"),
+                                                      F.min(F.struct(*PLACE)).alias("at"))
+    classes = staged(classes.select(F.monotonically_increasing_id().alias("id"), "sig", "doc", "n", "values", "brief", "at.*"), "classes")
 
     share = share_of(percent)
     lists = staged(prefix_lists(classes.select("id", "n", "values"), share), "lists").withColumns({"most": F.col("n"), "reach": F.col("n")})  # sketches give no bound for whole sets
@@ -249,19 +251,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_colum
     crowded = staged(lists.filter(F.col("m") > SHORT_LIST).select("id").distinct(), "crowded")
     dense = None
     if not crowded.isEmpty():
-        whole = staged(whole_sets(only(rows, crowded, "id"), width).dropDuplicates(["id"]), "whole")
+        whole = staged(whole_sets(class_texts(rows, classes, crowded), width), "whole")
         again = staged(prefix_lists(whole, percent), "lists")
         dense = again.filter(F.col("m") > SHORT_LIST)
         candidates = candidates.union(short_pairs(again, percent)).union(pivot_pairs(dense, percent)).distinct()
     candidates = staged(candidates, "candidates")
 
     first = staged(candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
-    links = staged(confirmed(first, rows, width, percent), "links")
+    links = staged(confirmed(first, rows, classes, width, percent).union(one_document(sets, classes)), "links")
     labels = components(links)
-    placed = with_label(with_label(candidates, labels, "a").withColumnRenamed("label", "a_label"), labels, "b")
-    rest = staged(placed.filter(F.col("a_label") != F.col("label")).select("a", "b").join(first, ["a", "b"], "left_anti"), "rest")
+    with_both = with_label(with_label(candidates, labels, "a").withColumnRenamed("label", "a_label"), labels, "b")
+    rest = staged(with_both.filter(F.col("a_label") != F.col("label")).select("a", "b").join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        links = staged(links.union(confirmed(rest, rows, width, percent)), "links")
+        links = staged(links.union(confirmed(rest, rows, classes, width, percent)), "links")
         labels = components(links)
     if dense is not None:
         crossing = crossing_pairs(dense, labels, percent).join(candidates, ["a", "b"], "left_anti")
@@ -269,19 +271,59 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_colum
         if not found.isEmpty():
             labels = components(links.union(found))
 
-    named_classes = with_label(classes.select("sig", "id"), labels, "id").select("sig", F.col("label").alias("component"))
-    out = sets.select("id", "n", "sig").join(named_classes, "sig", "left")
-    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
-    return out.select(F.col("id").cast(id_type).alias(id_column), F.col("n").alias("n_shingles"), component.cast(id_type).alias("component_id"), F.coalesce(F.col("id") == component, component.isNull()).alias("kept"))
+    grouped = staged(with_label(classes.select("sig", "id", "doc", *PLACE), labels, "id"), "grouped")
+    smallest = grouped.groupBy("label").agg(F.min("doc").alias("component"))
+    # Where no row of a group has an id, one text of one class stands for it.
+    alone = F.when((F.col("id") == F.col("label")), F.struct(*PLACE))
+    known = grouped.join(smallest, "label").select("sig", "component", alone.alias("alone"))
+    out = sets.select("id", *PLACE, "n", "sig").join(known, "sig", "left")
+    nameless = F.col("component").isNull() & F.coalesce(F.col("alone") == F.struct(*PLACE), F.lit(False))
+    kept = F.when(F.col("n") == 0, True).when(F.col("id").isNull(), nameless).otherwise(F.col("id") == F.col("component"))
+    return out.select("id", *PLACE, "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"), kept.alias("kept"))
+
+
+def one_document(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of different texts that have the same id."""
+    named = sets.filter("n > 0 AND id IS NOT NULL").select(F.col("id").alias("doc"), "sig")
+    several = named.groupBy("doc").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter("low < high").select("doc")
+    known = named.join(several, "doc").distinct().join(classes.select("sig", "id"), "sig").select("doc", "id")
+    firsts = known.groupBy("doc").agg(F.min("id").alias("a"))
+    return known.join(firsts, "doc").filter("a < id").select("a", F.col("id").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Return id, n_shingles, component_id and kept for every row.
+
+    Documents are linked if 100 * shared >= percent * united shingles; component_id is the smallest id that can be reached, and kept
+    says that it is the row's own. A null text, or one without words, has 0 shingles and no link. Rows of one id are one document, whose
+    texts are linked with each other. A row without an id links like any other: it is kept only if no row of its group has an id,
+    component_id is then null, and of such a group the rows of one text are kept. Ids are whole numbers; another type is an error. An empty table gives
+    an empty one; other columns are ignored.
+    """
+    id_type = _whole_number(docs, id_column)
+    rows = _grouped(docs, width, percent, id_column, text_column)
+    return rows.select(F.col("id").cast(id_type).alias(id_column), F.col("n").alias("n_shingles"), F.col("component").cast(id_type).alias("component_id"), "kept")
+
+
+def _whole_number(docs: DataFrame, id_column: str) -> T.DataType:
+    kind = docs.schema[id_column].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{id_column} is of type {kind.simpleString()}: ids must be whole numbers")
+    return kind
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The rows, with all their columns, that are kept (see `near_duplicates`)."""
-    marks = near_duplicates(docs, id_column=id_column, **options).filter(~F.col("kept")).select(F.col(id_column).alias("_dropped")).filter("_dropped IS NOT NULL").distinct()
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows, with all their columns, that are kept (see `near_duplicates`); of rows without an id that have one text, one."""
+    _whole_number(docs, id_column)
+    marks = _grouped(docs, width, percent, id_column, text_column).filter(~F.col("kept")).select(F.col("id").alias("_id"), *(F.col(c).alias(f"_{c}") for c in PLACE)).distinct()
     marks = staged(marks, "dropped")
-    if marks.count() <= MOST_SENT_IDS:
+    if marks.count() <= MOST_SENT_PLACES:
         marks = F.broadcast(marks)
-    return docs.join(marks, docs[id_column] == marks["_dropped"], "left_anti")
+    rows = docs.select(F.struct("*").alias("row")).withColumns({"id": F.col(f"row.{id_column}"), "text": F.col(f"row.{text_column}")})
+    rows = rows.select("row", "id", F.xxhash64("text").alias("place"), F.xxhash64(F.lit(1), "text").alias("place2"), F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("has_words"))
+    left = rows.join(marks, rows["id"].eqNullSafe(marks["_id"]) & (rows["place"] == marks["_place"]) & (rows["place2"] == marks["_place2"]), "left_anti")
+    once = left.filter("id IS NULL AND has_words").dropDuplicates(PLACE)
+    return left.filter("id IS NOT NULL OR NOT has_words").unionByName(once).select("row.*")
 
 
 SQL = r"""

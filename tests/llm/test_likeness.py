@@ -18,6 +18,44 @@ def edited_text(texts, order, i):
     return text[:len(text) - quarter] + following[:quarter]
 
 
+def parsed(fingerprint):
+    return [(int(h), int(at)) for at, h in (x.split(":") for x in fingerprint.split())]
+
+
+def like(a, b):
+    """By all bands instead of a walk over the sorted ones."""
+    if not a and not b:
+        return 1
+    both = sorted([(h, at, 0) for h, at in a] + [(h, at, 1) for h, at in b])
+    offsets = [(y[1] - x[1]) * (1 if x[2] == 0 else -1) for x, y in zip(both, both[1:]) if x[0] == y[0] and x[2] != y[2]]
+    band = max(16, max(x[-1][1] if x else 0 for x in (a, b)) // 8)
+    bands = Counter(d // band for d in offsets)
+    most = max((n + bands.get(k + 1, 0) for k, n in bands.items()), default=0)
+    return 2 * min(most, len(a), len(b)) / (len(a) + len(b))
+
+
+def closed_syncmers(text):
+    """Starts of the runs of 7 words whose smallest inner run of 2 is the first or the last."""
+    import xxhash
+    words = [b""] * 6 + (text or "").encode().split()
+    inner = []
+    for a, b in zip(words, words[1:]):
+        h = xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42))
+        inner.append(h - (1 << 64) if h >> 63 else h)
+    runs = [inner[i:i + 6] for i in range(len(inner) - 5)]
+    return [i for i, run in enumerate(runs) if min(run) in (run[0], run[-1])]
+
+
+def test_passages_in_another_order_or_repeated_are_less_alike(spark):
+    r = random.Random(3)
+    passages = [" ".join(f"w{r.randrange(10 ** 6)}" for _ in range(60)) for _ in range(6)]
+    whole, mirrored, five = " ".join(passages), " ".join(passages[::-1]), " ".join([passages[0]] * 5)
+    late = "a few words before it all begins " + whole
+    rows = [(i, t) for i, t in enumerate([whole, whole, late, whole, mirrored, passages[0], five])]
+    near = {x.doc_id: x.near_next for x in fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert near[0] == 1 and near[1] > 0.9 and near[3] < 0.4 and near[5] < 0.5
+
+
 def test_fingerprints_of_documents(spark, sf_dir, texts):
     rows = {r.doc_id: r for r in fingerprints.fingerprints(documents(spark, sf_dir)).collect()}
     order = sorted(texts)
@@ -25,9 +63,10 @@ def test_fingerprints_of_documents(spark, sf_dir, texts):
     for i, doc in enumerate(order):
         r, text = rows[doc], edited_text(texts, order, i)
         assert r.n_chars == len(texts[doc]) and r.edited_sha256 == hashlib.sha256(text.encode()).hexdigest()
-        mine, edited, following = (set(x.split()) for x in (r.fingerprint, r.edited_fingerprint, rows[order[(i + 1) % len(order)]].fingerprint))
-        like = lambda a, b: 2 * len(a & b) / (len(a) + len(b)) if a or b else 1
+        mine, edited, following = (parsed(x) for x in (r.fingerprint, r.edited_fingerprint, rows[order[(i + 1) % len(order)]].fingerprint))
         assert r.near_edited == pytest.approx(like(mine, edited)) and r.near_next == pytest.approx(like(mine, following))
+        if i % 10 == 0:
+            assert [at for _, at in mine] == closed_syncmers(texts[doc])
     long = [r for d, r in rows.items() if len(texts[d].split()) > 50]
     assert sum(r.near_edited > 0.6 and r.near_next < 0.2 for r in long) > 0.95 * len(long)
 
@@ -111,6 +150,26 @@ def test_one_document_of_each_group_stays(spark, odd):
     assert rows.filter(F.col("doc_id") == 4).first().lang == "en"
 
 
+def test_one_id_with_different_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a + " more"), (3, b + " more"), (9, "c d e f g h"), (7, "c d e f g h")], "doc_id long, text string")
+    got = sorted((x.doc_id, x.component_id, x.kept) for x in near_dedup.near_duplicates(docs).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (7, 7, True), (9, 7, False)]
+    assert sorted(x.doc_id for x in near_dedup.one_of_each(docs).collect()) == [1, 1, 7]
+
+
+def test_rows_without_an_id(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(None, a), (None, a), (None, a + " more"), (4, a.upper()), (None, b), (None, b), (None, b + " more"), (None, b.upper()), (None, None), (None, " "), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [(x.doc_id, x.text) for x in near_dedup.one_of_each(docs).collect()]
+    assert [t for i, t in left if i] == [a.upper()] and len([t for i, t in left if not i and (t or "").strip()]) == 1 and len(left) == 5
+    got = near_dedup.near_duplicates(docs).collect()
+    assert {x.component_id for x in got} == {None, 4} and sum(x.component_id == 4 for x in got) == 4
+    with pytest.raises(TypeError, match="doc_id is of type string"):
+        near_dedup.near_duplicates(docs.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
 def test_pairs_cross_components_only(spark):
     lists = spark.createDataFrame([(1, i, 100, 100, 20) for i in range(6)] + [(1, 6, 100, 80, 20)], "value long, id long, n long, reach long, m long")
     labels = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (0, 0)], "node long, label long")
