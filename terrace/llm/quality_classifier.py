@@ -10,6 +10,7 @@ them.
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -61,6 +62,8 @@ def fit_evidence(bins: DataFrame, labels: DataFrame, id_column: str, low: str) -
     counts = {(r["feature"], r["bin"]): (r["low"], r["good"]) for r in table.collect()}  # features times bins rows
     first = next(iter(FEATURES))
     n_low, n_good = (sum(v[i] for (feature, _), v in counts.items() if feature == first) for i in (0, 1))
+    if bool(n_low) != bool(n_good):
+        logging.getLogger(__name__).warning("all %d labelled documents are of one quality: there is no evidence, and every document stays", n_low + n_good)
     ratios = {}
     for name, (_, edges) in FEATURES.items():
         size = len(edges) + 1
@@ -108,16 +111,22 @@ def site_rates(scored: DataFrame) -> tuple[DataFrame, float]:
     return rates, path_strength
 
 
-def classified(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", path_column: str = "lang", low: str = "quality = 0") -> DataFrame:
+def classified(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", path_column: str = "lang", low: str = "quality = 0") -> DataFrame:
     """Return `row` (the whole input row), evidence, host_rate, path_rate and p_low for every row.
 
     `low` is a condition over the columns of `labels` that marks low quality. A path is a pair of host and path; a null host or path
-    is one of its own. A null text is measured as an empty one. Repeated rows are documents of their own; an empty table gives an
+    is one of its own. The document classifier learns from the labelled documents of `learn_from`, if given, else of `docs`; rates of sites are those of
+    `docs`. With labels of one kind only there is nothing to learn, and a warning says so. A null text is measured as an empty one. Repeated rows are documents of their own; an empty table gives an
     empty one; clashing column names stay inside `row`.
     """
     names = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(host_column).alias("host"), F.col(path_column).alias("path"))
     bins = staged(names.select("id", "host", "path", bins_of(F.col("text")).alias("bins")), "bins")
-    ratios, share = fit_evidence(bins, labels.withColumnRenamed(id_column, "id"), "id", low)
+    marks = labels.withColumnRenamed(id_column, "id")
+    known = bins
+    if learn_from is not None:
+        marked = learn_from.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(marks.select("id").distinct(), "id", "left_semi")
+        known = marked.select("id", bins_of(F.col("text")).alias("bins"))
+    ratios, share = fit_evidence(known, marks, "id", low)
     prior = math.log(share / (1 - share))
     first = _sigmoid(evidence(ratios, F.col("bins")) + prior)
     rates, strength = site_rates(bins.select("host", "path", first.alias("p")))

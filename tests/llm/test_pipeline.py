@@ -26,6 +26,15 @@ def test_stages_keep_the_columns_of_documents(steps):
     assert counts[0] > counts[1] >= counts[2] == counts[3] > counts[4] > 0
 
 
+def test_the_classifier_rejects_what_the_rules_keep(spark):
+    d = "/root/testdata/sf0.01"
+    kept = staged(corpus_pipeline.good_by_rules(spark, documents(spark, d), d), "rules")
+    left = {r.doc_id for r in corpus_pipeline.good_by_classifier(spark, kept, d).select("doc_id").collect()}
+    gone = {r.doc_id for r in kept.select("doc_id").collect()} - left
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    assert gone and not any(quality.get(i) == 1 for i in gone) and len(gone) < 0.1 * kept.count()
+
+
 def test_clean_documents_stay_and_junk_goes(spark, sf_dir, steps):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     kept = {r.doc_id for r in steps[2].collect()}
