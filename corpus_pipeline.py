@@ -19,7 +19,8 @@ def good_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def good_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    # What the rules have left holds hardly any low-quality label, so the classifier learns from all labelled documents.
+    return quality_classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), learn_from=documents(spark, sf_dir))
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
