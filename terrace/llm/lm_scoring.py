@@ -32,16 +32,27 @@ BACKOFF = 0.4
 SLICE_BYTES = 1 << 20
 BLOCK_WORDS = 400_000
 BUCKET_ENTRIES = 1_000_000
-BLOCK_SCHEMA = "block long, ids array<long>, lengths array<int>, words array<long>, sequence binary"
+BLOCK_SCHEMA = "block long, ids array<long>, lengths array<int>, words binary, sequence binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: both follow ASCII only
 
 
-def _lists(values: np.ndarray, ends: np.ndarray) -> pa.ListArray:
-    """Slices of an array that end at `ends`, as lists."""
-    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(values))
+def pack(values: np.ndarray, ascending: bool = False) -> bytes:
+    """64-bit numbers as compressed byte planes; ascending ones by their differences, so that the planes of high bytes are mostly zero."""
+    values = values.astype(np.uint64)
+    if ascending:
+        values = np.diff(values, prepend=np.uint64(0))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def unpack(data: bytes, ascending: bool = False) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], 8 * n, asbytes=True), np.uint8) if n else np.empty(0, np.uint8)
+    values = np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).ravel()
+    return np.cumsum(values, dtype=np.uint64) if ascending else values
 
 
 def blocks(docs: DataFrame) -> DataFrame:
@@ -56,11 +67,11 @@ def blocks(docs: DataFrame) -> DataFrame:
         parts: list[np.ndarray] = []
 
         def row() -> pa.RecordBatch:
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in known), np.uint64, len(known)).view(np.int64)
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in known), np.uint64, len(known))
             words, places = np.unique(hashes, return_inverse=True)
             sequence = places.astype(np.int32)[np.concatenate(parts)] if parts else np.empty(0, np.int32)
             out = pa.RecordBatch.from_arrays([
-                pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), _lists(words, np.array([len(words)])),
+                pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), pa.array([pack(words, True)], pa.binary()),
                 pa.array([pa.Codec("zstd").compress(sequence.tobytes(), asbytes=True)], pa.binary()),
             ], names=["block", "ids", "lengths", "words", "sequence"])
             for held in (known, ids, lengths, parts):
@@ -94,11 +105,10 @@ class Block:
         self.sequence = np.frombuffer(pa.Codec("zstd").decompress(sequence, 4 * n, asbytes=True), np.int32) if n else np.empty(0, np.int32)
         self.doc = np.repeat(np.arange(len(lengths)), lengths)
         self.inside = np.flatnonzero(self.doc[1:] == self.doc[:-1])  # places with a word of their document behind them
-        unsigned = words.view(np.uint64)
-        first, second = unsigned[self.sequence[self.inside]], unsigned[self.sequence[self.inside + 1]]
+        first, second = words[self.sequence[self.inside]], words[self.sequence[self.inside + 1]]
         pairs = _mix(_mix(first) + second)
         # The block's n-grams in the order of their hashes, the place of each of its words among them, and that of each pair of words.
-        self.keys, at = np.unique(np.concatenate([_mix(unsigned + np.uint64(1)), pairs]), return_inverse=True)
+        self.keys, at = np.unique(np.concatenate([_mix(words + np.uint64(1)), pairs]), return_inverse=True)
         self.word, self.pair = at[:len(words)][self.sequence], at[len(words):]
 
     def counts(self) -> np.ndarray:
@@ -132,34 +142,32 @@ def _block(row: dict) -> Block:
 def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
     for i in range(batch.num_rows):
         yield {"block": batch.column("block")[i].as_py(), "ids": batch.column("ids")[i].values, "lengths": batch.column("lengths")[i].values.to_numpy(),
-               "words": batch.column("words")[i].values.to_numpy(), "sequence": batch.column("sequence")[i].as_py()}
+               "words": unpack(batch.column("words")[i].as_py(), True), "sequence": batch.column("sequence")[i].as_py()}
 
 
 def ngrams(blocks: DataFrame, buckets: int) -> DataFrame:
-    """bucket, block, keys and counts of each block's n-grams."""
+    """bucket, block, keys and counts (packed) of each block's n-grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 block = _block(row)
-                edges = block.edges(buckets)
+                edges, counts = block.edges(buckets), block.counts()
                 held = np.flatnonzero(edges[1:] > edges[:-1])
-                ends = edges[1:][held]
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([row["block"]] * len(held), pa.int64()), _lists(block.keys.view(np.int64), ends),
-                                                  _lists(block.counts().astype(np.int32), ends)], names=["bucket", "block", "keys", "counts"])
-
-    return blocks.mapInArrow(run, "bucket int, block long, keys array<long>, counts array<int>")
-
+                slices = [slice(edges[b], edges[b + 1]) for b in held]
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([row["block"]] * len(held), pa.int64()), pa.array([pack(block.keys[x], True) for x in slices], pa.binary()),
+                                                  pa.array([pack(counts[x]) for x in slices], pa.binary())], names=["bucket", "block", "keys", "counts"])
 
-def _flat(table: pa.Table, column: str) -> np.ndarray:
-    return pa.concat_arrays([chunk.flatten() for chunk in table.column(column).chunks]).to_numpy(zero_copy_only=False)
+    return blocks.mapInArrow(run, "bucket int, block long, keys binary, counts binary")
 
 
 def joined_counts(table: pa.Table) -> pa.Table:
     """One bucket: its part of the count tables (an n-gram's sum over all blocks), joined to the n-grams of each block."""
-    ends = np.cumsum([len(x) for chunk in table.column("keys").chunks for x in chunk])
-    found, at = np.unique(_flat(table, "keys"), return_inverse=True)
-    counts = np.bincount(at, _flat(table, "counts"), len(found)).astype(np.int64)
-    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "totals": _lists(counts[at], ends)})
+    keys = [unpack(x, True) for x in table.column("keys").to_pylist()]
+    counts = np.concatenate([unpack(x) for x in table.column("counts").to_pylist()])
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    totals = np.bincount(at, counts, len(found)).astype(np.uint64)[at]
+    ends = np.cumsum([0, *map(len, keys)])
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "totals": pa.array([pack(totals[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())})
 
 
 def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -175,16 +183,16 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     held = staged(blocks(rows), "blocks")
     total = held.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))).head()[0] or 0
     buckets = max(-(-total // BUCKET_ENTRIES), int(spark.conf.get("spark.sql.shuffle.partitions"))) | 1
-    counted = ngrams(held, buckets).groupBy("bucket").applyInArrow(joined_counts, "block long, bucket int, totals array<long>")
+    counted = ngrams(held, buckets).groupBy("bucket").applyInArrow(joined_counts, "block long, bucket int, totals binary")
 
     def score(table: pa.Table) -> pa.Table:
         """One block: its own row, and the totals of its n-grams from every bucket."""
         table = table.sort_by("bucket")  # the block's own row has none and comes last
         row = next(_rows(table.slice(table.num_rows - 1)))
-        totals = _flat(table.slice(0, table.num_rows - 1), "totals") if table.num_rows > 1 else np.empty(0, np.int64)
+        totals = np.concatenate([np.empty(0, np.int64), *(unpack(x).view(np.int64) for x in table.column("totals").to_pylist()[:-1])])
         return pa.table({"id": row["ids"], "n_words": pa.array(row["lengths"], pa.int64()), "log_score": pa.array(_block(row).scores(totals, total), pa.float64())})
 
-    own = held.withColumns({"bucket": F.lit(None).cast("int"), "totals": F.lit(None).cast("array<long>")})
+    own = held.withColumns({"bucket": F.lit(None).cast("int"), "totals": F.lit(None).cast("binary")})
     both = own.unionByName(counted, allowMissingColumns=True)
     partial = both.groupBy("block").applyInArrow(score, "id long, n_words long, log_score double")
     scores = partial.groupBy("id").agg(F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score"))
