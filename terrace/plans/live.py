@@ -203,7 +203,3 @@ def row_store(cdc: DataFrame) -> DataFrame:
     flat = st.cdc_envelope(cdc)
     row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
     return flat.select("table", row["id"].alias("row_id"), "id", "op", row.alias("values"), "ts", (F.col("op") == "d").alias("_deleted"))
-
-
-def json_passthrough(df: DataFrame) -> DataFrame:
-    return st.to_snake_json(df)

@@ -209,3 +209,11 @@ def to_snake_json(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Rows as JSON documents with snake_case names."""
     columns: list[Column] = [F.col(c).alias(snake_case(c)) for c in df.columns if c not in exclude]
     return df.select(F.to_json(F.struct(*columns)).alias("value"))
+
+
+def json_batches(path: str, exclude: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of JSON rows, a folder of text per micro-batch, as a bulk load with the batch as its label takes them: loading a label twice
+    changes nothing."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        to_snake_json(batch, exclude).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+    return write
