@@ -54,28 +54,27 @@ def with_anchors(rows: DataFrame, text_column: str, name: str) -> DataFrame:
 
 
 def _offsets(a: Column, b: Column) -> Column:
-    """How far matching anchors are apart."""
-    side = lambda anchors, n: F.transform(anchors, lambda x: F.struct(x["hash"].alias("hash"), x["at"].alias("at"), F.lit(n).alias("side")))
+    """How far matching anchors are apart. An anchor, its place and its text are one number, so that sorting them is cheap."""
+    def numbers(anchors: Column, side: int) -> Column:
+        return F.transform(anchors, lambda x: F.shiftleft(x["hash"].cast("long"), 32) + 2 * x["at"] + side)
 
     def pairs(both: Column) -> Column:
         def offset(x: Column, i: Column) -> Column:
-            following = F.get(both, i + 1)
-            away = F.when(x["side"] == 0, following["at"] - x["at"]).otherwise(x["at"] - following["at"])
-            return F.when((following["hash"] == x["hash"]) & (following["side"] != x["side"]), away)
+            following, side, place = F.get(both, i + 1), lambda n: n.bitwiseAND(F.lit(1)), lambda n: F.shiftright(n.bitwiseAND(F.lit((1 << 32) - 1)), 1)
+            matches = (F.shiftright(x, 32) == F.shiftright(following, 32)) & (side(x) != side(following))
+            return F.when(matches, (place(following) - place(x)) * (1 - 2 * side(x)))
         return F.filter(F.transform(both, offset), lambda d: d.isNotNull())
-    return once(F.array_sort(F.concat(side(a, 0), side(b, 1))), pairs)
+    return once(F.sort_array(F.concat(numbers(a, 0), numbers(b, 1))), pairs)
 
 
 def _most_in_two_bands(bands: Column) -> Column:
-    """The most numbers that are equal to, or one above, some number."""
-    start = F.struct(F.lit(-(1 << 40)).alias("band"), F.lit(0).alias("here"), F.lit(0).alias("below"), F.lit(0).alias("most"))
-
-    def add(s: Column, x: Column) -> Column:
-        same = x == s["band"]
-        here = F.when(same, s["here"] + 1).otherwise(1)
-        below = F.when(same, s["below"]).when(x == s["band"] + 1, s["here"]).otherwise(0)
-        return F.struct(x.alias("band"), here.alias("here"), below.alias("below"), F.greatest(s["most"], here + below).alias("most"))
-    return F.aggregate(F.array_sort(bands), start, add)["most"]
+    """The most numbers that are equal to, or one above, some number. Offsets are no larger than the longer text, so there are few bands."""
+    edge = BAND_PARTS + 1
+
+    def most(held: Column) -> Column:
+        counts = [F.size(held) - F.size(F.array_remove(held, F.lit(k).cast("long"))) for k in range(-edge, edge)]
+        return F.greatest(*(x + y for x, y in zip(counts, counts[1:])))
+    return once(bands, most)
 
 
 def likeness(a: Column, b: Column) -> Column:
