@@ -30,7 +30,7 @@ from terrace.llm.near_dedup import _mix, _whole_number
 
 BACKOFF = 0.4
 SLICE_BYTES = 1 << 20
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 800_000
 BUCKET_ENTRIES = 1_000_000
 BLOCK_SCHEMA = "block long, ids array<long>, lengths array<int>, words binary, sequence binary"
 
