@@ -40,7 +40,7 @@ def _chosen(inner: Column) -> Column:
 
 
 def with_anchors(rows: DataFrame, text_column: str, name: str) -> DataFrame:
-    """Add the anchors of a text that isn't null as an array of place (of its first word) and 32-bit hash, in order.
+    """Add the anchors of a text that isn't null as an array of numbers, in order: a 32-bit hash and, in the lower half, the place of the first word.
 
     Steps are columns of their own, so that each is computed once. A text without words has no anchors.
     """
@@ -50,17 +50,21 @@ def with_anchors(rows: DataFrame, text_column: str, name: str) -> DataFrame:
     chosen = inner.select(*names, "_inner", _chosen(F.col("_inner")).alias("_chosen"))
     parts = [*range(0, K - S, S), K - S]  # inner runs that cover the K words
     anchor = lambda i: F.hash(*(F.get(F.col("_inner"), i + j) for j in parts))
-    return chosen.select(*names, F.transform("_chosen", lambda i: F.struct(i.alias("at"), anchor(i).alias("hash"))).alias(name))
+    return chosen.select(*names, F.transform("_chosen", lambda i: F.shiftleft(anchor(i).cast("long"), 32) + i).alias(name))
+
+
+def _place(number: Column) -> Column:
+    return number.bitwiseAND(F.lit((1 << 32) - 1))
 
 
 def _offsets(a: Column, b: Column) -> Column:
     """How far matching anchors are apart. An anchor, its place and its text are one number, so that sorting them is cheap."""
     def numbers(anchors: Column, side: int) -> Column:
-        return F.transform(anchors, lambda x: F.shiftleft(x["hash"].cast("long"), 32) + 2 * x["at"] + side)
+        return F.transform(anchors, lambda x: x + _place(x) + side)  # twice the place, and which text
 
     def pairs(both: Column) -> Column:
         def offset(x: Column, i: Column) -> Column:
-            following, side, place = F.get(both, i + 1), lambda n: n.bitwiseAND(F.lit(1)), lambda n: F.shiftright(n.bitwiseAND(F.lit((1 << 32) - 1)), 1)
+            following, side, place = F.get(both, i + 1), lambda n: n.bitwiseAND(F.lit(1)), lambda n: F.shiftright(_place(n), 1)
             matches = (F.shiftright(x, 32) == F.shiftright(following, 32)) & (side(x) != side(following))
             return F.when(matches, (place(following) - place(x)) * (1 - 2 * side(x)))
         return F.filter(F.transform(both, offset), lambda d: d.isNotNull())
@@ -80,14 +84,14 @@ def _most_in_two_bands(bands: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """Twice the anchors that match at places equally far apart over all anchors; 1 for two texts without any."""
     total = F.size(a) + F.size(b)
-    last = lambda x: F.coalesce(F.get(x, F.size(x) - 1)["at"], F.lit(0))
+    last = lambda x: F.coalesce(_place(F.get(x, F.size(x) - 1)), F.lit(0))
     band = F.greatest(F.lit(LEAST_BAND), F.floor(F.greatest(last(a), last(b)) / BAND_PARTS))
     most = once(band, lambda w: _most_in_two_bands(F.transform(_offsets(a, b), lambda d: F.floor(d / w))))
     return F.when(total == 0, 1.0).otherwise(2.0 * F.least(most, F.size(a), F.size(b)) / total)
 
 
 def as_text(anchors: Column) -> Column:
-    return F.array_join(F.transform(anchors, lambda x: F.concat_ws(":", x["at"], x["hash"])), " ")
+    return F.array_join(F.transform(anchors, lambda x: F.concat_ws(":", _place(x), F.shiftright(x, 32))), " ")
 
 
 def _bounds(rows: DataFrame, key: str, buckets: int) -> tuple[list[int], int | None]:
