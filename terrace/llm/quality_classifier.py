@@ -111,7 +111,8 @@ def site_rates(scored: DataFrame) -> tuple[DataFrame, float]:
     return rates, path_strength
 
 
-def classified(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", path_column: str = "lang", low: str = "quality = 0") -> DataFrame:
+def classified(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", path_column: str = "lang", low: str = "quality = 0",
+               learn_from: DataFrame | None = None) -> DataFrame:
     """Return `row` (the whole input row), evidence, host_rate, path_rate and p_low for every row.
 
     `low` is a condition over the columns of `labels` that marks low quality. A path is a pair of host and path; a null host or path

@@ -109,3 +109,10 @@ def test_a_lone_document_only_backs_off(spark):
 def test_rare_words_of_a_large_corpus_keep_their_own_counts(spark):
     texts = {1: "f " * 150_000, 2: "u v", 3: "x y", 4: "u z", 5: "c d", **{i: "c d" for i in range(6, 12)}}
     check_scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), texts)
+
+
+def test_classifier_by_another_id_and_from_other_documents(spark, odd, labels):
+    want = {tuple(r) for r in quality_classifier.quality_classifier(odd, labels).collect()}
+    renamed = quality_classifier.quality_classifier(odd.withColumnRenamed("doc_id", "key"), labels.withColumnRenamed("doc_id", "key"), 0.8, "key")
+    assert {tuple(r) for r in renamed.collect()} == want
+    assert {tuple(r) for r in quality_classifier.quality_classifier(odd, labels, learn_from=odd).collect()} == want
