@@ -125,8 +125,7 @@ def classified(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", te
     marks = labels.withColumnRenamed(id_column, "id")
     known = bins
     if learn_from is not None:
-        marked = learn_from.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(marks.select("id").distinct(), "id", "left_semi")
-        known = marked.select("id", bins_of(F.col("text")).alias("bins"))
+        known = learn_from.select(F.col(id_column).alias("id"), bins_of(F.col(text_column)).alias("bins"))  # bins meet the labels, not texts
     ratios, share = fit_evidence(known, marks, "id", low)
     prior = math.log(share / (1 - share))
     first = _sigmoid(evidence(ratios, F.col("bins")) + prior)

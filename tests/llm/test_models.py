@@ -116,3 +116,17 @@ def test_classifier_by_another_id_and_from_other_documents(spark, odd, labels):
     renamed = quality_classifier.quality_classifier(odd.withColumnRenamed("doc_id", "key"), labels.withColumnRenamed("doc_id", "key"), 0.8, "key")
     assert {tuple(r) for r in renamed.collect()} == want
     assert {tuple(r) for r in quality_classifier.quality_classifier(odd, labels, learn_from=odd).collect()} == want
+
+
+def test_no_text_is_shuffled_to_its_labels(spark, odd, labels):
+    bins = odd.select("doc_id", quality_classifier.bins_of(odd.text).alias("bins"))
+    seen = []
+    held = quality_classifier.fit_evidence
+    try:
+        quality_classifier.fit_evidence = lambda known, *rest: (seen.append(known), held(known, *rest))[1]
+        quality_classifier.classified(odd, labels, learn_from=odd)
+    finally:
+        quality_classifier.fit_evidence = held
+    assert seen[0].columns == ["id", "bins"] and seen[0].count() == bins.count()  # all rows, before any join
+    plan = seen[0].join(labels.withColumnRenamed("doc_id", "id").hint("merge"), "id")._jdf.queryExecution().executedPlan().toString()
+    assert all("text" not in line for line in plan.splitlines() if "Exchange" in line)
