@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace import streaming as st
+from terrace.plans.stream_queries import QUERIES
 from terrace.sources import SCHEMAS, load
 from terrace.streaming.windows import PAGE_VIEW_SUMS
 
@@ -258,3 +259,37 @@ def test_queries_whatever_the_layout(spark, sf_dir, layouts, layout, name):
     finally:
         spark.conf.unset("terrace.stream.files")
     assert outcome in (None, "EMPTY")
+
+
+def test_bounded_run_is_one_query_with_one_store_per_partition_of_a_join(spark, sf_dir):
+    from pyspark.sql.streaming import StreamingQueryListener
+
+    class Seen(StreamingQueryListener):
+        def __init__(self):
+            self.runs, self.batches, self.ended = set(), [], 0
+
+        def onQueryStarted(self, event):
+            self.runs.add(event.runId)
+
+        def onQueryProgress(self, event):
+            self.batches.append([s.numStateStoreInstances for s in event.progress.stateOperators])
+
+        def onQueryIdle(self, event):
+            pass
+
+        def onQueryTerminated(self, event):
+            self.ended += 1
+
+    seen = Seen()
+    spark.streams.addListener(seen)
+    try:
+        QUERIES["stream_order_detail_stream"](spark, sf_dir).count()
+        for _ in range(100):
+            if seen.ended:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(seen)
+    stores = {n for batch in seen.batches for n in batch}
+    assert len(seen.runs) == 1 and stores == {int(spark.conf.get("spark.sql.shuffle.partitions"))}
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
