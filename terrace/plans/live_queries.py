@@ -99,7 +99,7 @@ def _full_logs(t):
 @query
 def log_splitter(t):
     detail = F.coalesce("log", C("err.error_code").cast("string"), "display.item", "action.item", C("start.loading_time").cast("string"), F.when(C("kind") == "page", C("common.is_new")))
-    rows = live.log_splitter(_full_logs(t)).select("kind", "ts", detail.alias("detail"), C("common.is_new").alias("is_new"))
+    rows = live.log_splitter(_full_logs(t), buckets=t.buckets("events")).select("kind", "ts", detail.alias("detail"), C("common.is_new").alias("is_new"))
     path = f"{work_dir(t.spark)}/kinds-{uuid.uuid4().hex}"
     run_to_end(rows, write=live.kind_log(path))
     return t.spark.read.schema(rows.schema).parquet(path).select("kind", "ts", "detail", "is_new")
@@ -197,7 +197,7 @@ def search_keywords(t):
 
 @query
 def cart_unique_users(t):
-    return run_to_end(live.cart_unique_users(live.cart_add_fact(cart_changes(t)), "7 days"))
+    return run_to_end(live.cart_unique_users(live.cart_add_fact(cart_changes(t)), "7 days", buckets=t.buckets("lineitem")))
 
 
 def _versions(t):
@@ -212,29 +212,29 @@ def _versions(t):
 
 @query
 def province_orders(t):
-    return run_to_end(live.province_orders(_versions(t), _dim(t, "ods_base_province").withColumnRenamed("name", "province_name"), "7 days", DAY, ["version"]))
+    return run_to_end(live.province_orders(_versions(t), _dim(t, "ods_base_province").withColumnRenamed("name", "province_name"), "7 days", DAY, ["version"], buckets=t.buckets("orders", 2)))
 
 
 @query
 def sku_orders(t):
     dims = {"sku": _dim(t, "ods_sku_info"), "spu": _dim(t, "ods_spu_info"), "trademark": _dim(t, "ods_base_trademark"), "category3": _dim(t, "ods_base_category3"),
             "category2": _dim(t, "ods_base_category2"), "category1": _dim(t, "ods_base_category1")}
-    return run_to_end(live.sku_orders(_versions(t), dims, "7 days", DAY, ["version"]))
+    return run_to_end(live.sku_orders(_versions(t), dims, "7 days", DAY, ["version"], buckets=t.buckets("orders", 2)))
 
 
 @query
 def home_detail_visitors(t):
-    return run_to_end(live.home_detail_visitors(log_stream(t), "1 hour"))
+    return run_to_end(live.home_detail_visitors(log_stream(t), "1 hour", buckets=t.buckets("events")))
 
 
 @query
 def page_view_metrics(t):
-    return run_to_end(live.page_view_metrics(log_stream(t), "1 hour"))
+    return run_to_end(live.page_view_metrics(log_stream(t), "1 hour", buckets=t.buckets("events")))
 
 
 @query
 def login_users(t):
-    return run_to_end(live.login_users(log_stream(t), "1 hour"))
+    return run_to_end(live.login_users(log_stream(t), "1 hour", buckets=t.buckets("events")))
 
 
 @query

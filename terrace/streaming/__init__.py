@@ -4,7 +4,7 @@ from terrace.streaming.joins import (cancel_stream, enrich_chain, interval_join,
                                      refund_paid_stream, refund_stream, refreshed)
 from terrace.streaming.runs import late_rows, run_to_end, start_job, watch_late_rows
 from terrace.streaming.sinks import DimRouter, KeyedTable, LateSide, additive_log, batch_log, dated_sink, json_batches, kafka_sink, read_additive, read_log, route_dims, to_snake_json
-from terrace.streaming.state import drop_repeats, emit_last, first_of_day, hand_over, login_marks, newest_only, repair_is_new, retract_dedup, settled
+from terrace.streaming.state import buckets_for, drop_repeats, emit_last, first_of_day, hand_over, login_marks, newest_only, repair_is_new, retract_dedup, settled
 from terrace.streaming.windows import (amount_window, distinct_window, keyword_counts, login_window, page_view_parts,
                                        page_view_window, unique_window, window_columns)
 from terrace.streaming.words import flag_words

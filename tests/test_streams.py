@@ -293,3 +293,23 @@ def test_bounded_run_is_one_query_with_one_store_per_partition_of_a_join(spark,
     stores = {n for batch in seen.batches for n in batch}
     assert len(seen.runs) == 1 and stores == {int(spark.conf.get("spark.sql.shuffle.partitions"))}
     assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+@pytest.mark.parametrize("name", ["stream_repair_is_new", "stream_first_of_day", "stream_retract_dedup", "stream_page_view_window", "stream_page_view_totals", "stream_unique_window", "stream_home_detail_window",
+                                  "stream_login_window_back", "stream_amount_window", "stream_newest_only", "stream_hand_over", "live_log_splitter", "live_cart_unique_users", "live_province_orders",
+                                  "live_sku_orders", "live_home_detail_visitors", "live_page_view_metrics", "live_login_users"])
+def test_buckets_grow_with_the_rows_of_a_query(spark, sf_dir, monkeypatch, name):
+    from terrace.plans.registry import all_queries
+    from terrace.streaming import state
+
+    class Dealt(Exception):
+        pass
+
+    def deal(df, keys, processor, ts, delay, order, buckets, **options):
+        raise Dealt(buckets)
+
+    monkeypatch.setattr(state, "ROWS_PER_BUCKET", 10)
+    monkeypatch.setattr(state, "_transform", deal)
+    with pytest.raises(Dealt) as found:
+        all_queries()[name](spark, sf_dir)
+    assert found.value.args[0] > state.BUCKETS == state.buckets_for(0)
