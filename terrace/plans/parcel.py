@@ -13,6 +13,7 @@ from terrace.functions.text import EMAIL_STRICT, PHONE_STRICT
 from terrace.operators.dims import fold_set
 from terrace.operators.rollups import fan_out_recent_days
 from terrace.plans.warehouse import Warehouse, job_table
+from terrace.session import dealt_finely
 from terrace.sources.writers import OPEN_DATE
 
 JOBS, job = job_table()
@@ -219,7 +220,7 @@ def _organs_by_region(w):
 @job
 def dws_trade_org_cargo_type_order_1d(w):
     """Every order counts once per organisation, cargo type and day, with its amount taken once."""
-    once = w["dwd_trade_order_detail_inc"].groupBy("order_id", "cargo_type", "cargo_type_name", "sender_district_id", "sender_city_id", "dt").agg(F.max("amount").alias("amount"))
+    once = dealt_finely(w["dwd_trade_order_detail_inc"], "order_id").groupBy("order_id", "cargo_type", "cargo_type_name", "sender_district_id", "sender_city_id", "dt").agg(F.max("amount").alias("amount"))
     # Aggregated down to districts before the organisation is looked up: the join then sees few rows.
     by_district = once.groupBy("sender_district_id", "sender_city_id", "cargo_type", "cargo_type_name", "dt").agg(
         F.count("order_id").alias("order_count"), _total("amount", "order_amount"))

@@ -15,6 +15,7 @@ from terrace.operators.dims import fold_set
 from terrace.operators.rollups import fan_out_recent_days
 from terrace.operators.users import change_counts, channel_stats, cohort_rates, new_active_counts, repeat_rate
 from terrace.plans.warehouse import Warehouse, job_table
+from terrace.session import dealt_finely
 from terrace.sources.writers import OPEN_DATE
 
 JOBS, job = job_table()
@@ -281,7 +282,8 @@ def dws_trade_user_sku_order_1d(w):
 
 @job
 def dws_trade_user_order_1d(w):
-    return op.daily_rollup(w["dwd_trade_order_detail_inc"], ["user_id"], "dt", [
+    # Dealt once, by what both levels of the distinct count share.
+    return op.daily_rollup(dealt_finely(w["dwd_trade_order_detail_inc"], "user_id", "dt"), ["user_id"], "dt", [
         F.count_distinct("order_id").alias("order_count_1d"), F.sum("sku_num").alias("order_num_1d"), *_order_sums()])
 
 

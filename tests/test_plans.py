@@ -47,3 +47,13 @@ def scans(spark, sf_dir, name):
 def test_reports_read_each_daily_table_once(spark, sf_dir, report, daily):
     got, want = scans(spark, sf_dir, f"parcel_{report}"), [scans(spark, sf_dir, f"parcel_{name}") for name in daily]
     assert all(got[table] <= sum(w[table] for w in want) for table in got)
+
+
+def test_daily_user_orders_are_dealt_once_and_parcel_orders_finely(spark, sf_dir):
+    from terrace.plans.job_queries import QUERIES
+
+    partitions = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = lambda name: QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    user, parcel = plan("shop_dws_trade_user_order_1d"), plan("parcel_dws_trade_org_cargo_type_order_1d")
+    assert user[:user.index("Join")].count("Exchange") == 1 and f", {partitions}), REPARTITION_BY_NUM" in user
+    assert f", {partitions}), REPARTITION_BY_NUM" in parcel
