@@ -27,7 +27,7 @@ from terrace.llm.byte_bpe import byte_characters
 from terrace.llm.common import SAFE_PIECE, byte_slices, staged
 
 SLICE_BYTES = 1 << 20
-REMEMBERED_PIECES = 1 << 18
+REMEMBERED_PIECES = 1 << 19
 LONGEST_REMEMBERED = 40
 #: Beyond this code point the two libraries may follow different Unicode versions; such pieces go to the file's own library.
 SETTLED = 0x24F
