@@ -145,9 +145,11 @@ def _split_amounts(df):
 
 @job
 def dwd_trade_order_detail_inc(w):
-    wide = op.detail_enrich(
-        w["ods_order_detail"],
-        (w["ods_order_info"], "order_id", "id", {"user_id": "user_id", "province_id": "province_id"}, "left"), *_detail_sides(w))
+    # The header comes last, so that a query that needs no line ids has them shuffled once.
+    detail = w["ods_order_detail"]
+    sides, header = _detail_sides(w), (w["ods_order_info"], "order_id", "id", {"user_id": "user_id", "province_id": "province_id"}, "left")
+    added = [name for side in (header, *sides) for name in side[3].values()]
+    wide = op.detail_enrich(detail, *sides, header).select(*detail.columns, *added)
     return _split_amounts(wide).withColumns({"date_id": _day("create_time"), "dt": _day("create_time")})
 
 

@@ -57,3 +57,8 @@ def test_daily_user_orders_are_dealt_once_and_parcel_orders_finely(spark, sf_dir
     user, parcel = plan("shop_dws_trade_user_order_1d"), plan("parcel_dws_trade_org_cargo_type_order_1d")
     assert user[:user.index("Join")].count("Exchange") == 1 and f", {partitions}), REPARTITION_BY_NUM" in user
     assert f", {partitions}), REPARTITION_BY_NUM" in parcel
+
+
+def test_lines_meet_their_header_last(spark, sf_dir):
+    plan = physical(spark, sf_dir, "shop_dws_trade_user_sku_order_1d")
+    assert re.findall(r"Join \[(\w+)#", plan)[:4] == ["sku_id", "order_id", "id", "id"]  # from the last to the first; ids of lines go no further than theirs
