@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -54,6 +56,7 @@ class PieceIds:
         vocabulary = held["model"]["vocab"]
         merged = [vocabulary["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in held["model"]["merges"]]
         self.special = [t["content"] for t in held.get("added_tokens", [])]
+        self.odd = re.compile("|".join([f"[^\0-{chr(SETTLED)}]", *map(re.escape, self.special)]))
         byte_of = {c: b for b, c in enumerate(byte_characters())}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if token not in self.special}
         self.by_rank = None
@@ -62,16 +65,14 @@ class PieceIds:
         self.known: dict[str, bytes] = {}
 
     def encode_new(self, pieces: set[str]) -> None:
-        plain, other = [], []
-        for piece in pieces:
-            odd = self.by_rank is None or (not piece.isascii() and max(map(ord, piece)) > SETTLED) or any(s in piece for s in self.special)
-            (other if odd else plain).append(piece)
-        if plain:
-            encode = self.by_rank.encode_ordinary
-            self.known.update((piece, np.array(encode(piece), "<u4").tobytes()) for piece in plain)
+        other = set(filter(self.odd.search, pieces)) if self.by_rank else pieces
+        for piece in pieces - other:  # one by one: lists of ids that are kept wake the garbage collector
+            ids = self.by_rank.encode_ordinary(piece)
+            self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
         if other:
-            found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
-            self.known.update((piece, np.array(e.ids, "<u4").tobytes()) for piece, e in zip(other, found, strict=True))
+            order = [*other]
+            found = self.tokenizer.encode_batch_fast(order, add_special_tokens=False)
+            self.known.update((piece, np.array(e.ids, "<u4").tobytes()) for piece, e in zip(order, found, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [SAFE_PIECE.findall(text) for text in texts]

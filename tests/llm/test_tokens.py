@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+from terrace.llm import packing
 from terrace.llm.byte_bpe import ByteBpe, decode, encode, round_trip_digests
 from terrace.llm.common import documents
 from terrace.llm.packing import PieceIds, best_fit, pack, pack_counts, pack_documents, reduce_instance
@@ -70,6 +71,15 @@ def test_ids_of_odd_texts(tokenizer):
         assert np.frombuffer(got, "<u4").tolist() == want.ids
 
 
+def test_plain_pieces_make_no_array_each(monkeypatch, tokenizer):
+    ids, texts, made = PieceIds(BPE, PATTERN), ["some plain words, naïve ones too", "", "odd 中文 ones <|endoftext|> ones"], []
+    monkeypatch.setattr(packing.np, "array", lambda *a, f=np.array: made.append(a) or f(*a))
+    got = ids.encode(texts)
+    assert len(made) == 2  # one for each odd piece
+    for one, want in zip(got, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(one, "<u4").tolist() == want.ids
+
+
 def check_packing(rows, capacity):
     by_sequence = defaultdict(list)
     for r in rows:
