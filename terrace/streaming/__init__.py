@@ -1,4 +1,4 @@
-from terrace.streaming.bounded import bounded, watermark
+from terrace.streaming.bounded import bounded, moved, watermark
 from terrace.streaming.cdc import cdc_delta, cdc_envelope, cdc_select, parse_marked, parse_or_dirty, split_log
 from terrace.streaming.joins import (cancel_stream, enrich_chain, interval_join, interval_merge, lookup, order_detail_stream,
                                      refund_paid_stream, refund_stream, refreshed)

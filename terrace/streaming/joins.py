@@ -39,16 +39,22 @@ def interval_merge(left: DataFrame, right: DataFrame, on: Mapping[str, str], lef
 
 
 def order_detail_stream(detail: DataFrame, header: DataFrame, activity: DataFrame, coupon: DataFrame, lo: str, hi: str,
-                        side_lo: str, side_hi: str) -> DataFrame:
+                        side_lo: str, side_hi: str, late: Mapping[str, int] | None = None) -> DataFrame:
     """Detail rows with header (inner; within lo..hi), activity and coupon (left outer; within side_lo..side_hi of them).
 
     Columns: detail(id, order_id, detail_time, ..), header(header_id, header_time, ..), activity(act_detail_id, act_time, ..),
-    coupon(cou_detail_id, cou_time, ..). Unmatched details leave the outer joins once the watermark passes their range.
+    coupon(cou_detail_id, cou_time, ..). Unmatched details leave the outer joins once the watermark passes their range. `late` has the days by which
+    header_time, act_time and cou_time have been moved (bounded.moved), as a replay lets them come before (below 0) or after the details.
     """
-    # Only one event time may go on after each join: the detail's.
-    rows = interval_join(detail, header, {"order_id": "header_id"}, "detail_time", "header_time", lo, hi).drop("header_time")
-    rows = interval_join(rows, activity, {"id": "act_detail_id"}, "detail_time", "act_time", side_lo, side_hi, "leftOuter").drop("act_time")
-    return interval_join(rows, coupon, {"id": "cou_detail_id"}, "detail_time", "cou_time", side_lo, side_hi, "leftOuter").drop("cou_time")
+    late = late or {}
+
+    def ranges(time: str, *texts: str) -> list[str]:
+        return [f"{x} {-late.get(time, 0)} days" for x in texts]
+    # Only one event time may go on after each join: the detail's. Rows on the right are not kept if all their partners have come, so details are there.
+    met = within(F.col("detail_time"), F.col("header_time"), *ranges("header_time", lo, hi)) & (F.col("order_id") == F.col("header_id"))
+    rows = header.join(detail, met).select(*detail.columns, *(c for c in header.columns if c != "header_time"))
+    rows = interval_join(rows, activity, {"id": "act_detail_id"}, "detail_time", "act_time", *ranges("act_time", side_lo, side_hi), "leftOuter").drop("act_time")
+    return interval_join(rows, coupon, {"id": "cou_detail_id"}, "detail_time", "cou_time", *ranges("cou_time", side_lo, side_hi), "leftOuter").drop("cou_time")
 
 
 def cancel_stream(detail: DataFrame, orders: DataFrame, status: str, cancelled: Sequence[str], lo: str, hi: str) -> DataFrame:
