@@ -52,9 +52,9 @@ def detail_changes(t):
 
 
 def side_changes(t):
-    act = _changes(t.lineitem.where("l_discount > 0.05"), "order_detail_activity", "c", "l_shipdate",
+    act = _changes(t.activities.where("l_discount > 0.05"), "order_detail_activity", "c", "l_shipdate",
                    {"order_detail_id": line_id(), "activity_id": C("l_suppkey") % 25, "activity_rule_id": C("l_suppkey")})
-    return act.unionByName(_changes(t.lineitem.where("l_tax > 0.04"), "order_detail_coupon", "c", "l_shipdate", {"order_detail_id": line_id(), "coupon_id": C("l_suppkey")}))
+    return act.unionByName(_changes(t.coupons.where("l_tax > 0.04"), "order_detail_coupon", "c", "l_shipdate", {"order_detail_id": line_id(), "coupon_id": C("l_suppkey")}))
 
 
 def refund_changes(t):
@@ -149,10 +149,11 @@ def cart_add_fact(t):
 
 def _detail_fact(t):
     """The detail job's own stream; a tenth of the details is deleted after a day."""
+    t = t.orders_and_lines()
     late = detail_changes(t).where(C("after")["sku_id"].cast("long") % 10 == 0)
     gone = late.select(F.lit("d").alias("op"), C("after").alias("before"), F.lit(None).cast("map<string,string>").alias("after"), "source", (C("ts_ms") + 86_400_000).alias("ts_ms"))
     cdc = order_changes(t).unionByName(detail_changes(t)).unionByName(gone).unionByName(side_changes(t))
-    return live.order_detail_fact(cdc, *NEAR, DAY, *SIDE)
+    return live.order_detail_fact(cdc, *NEAR, DAY, *SIDE, t.late_times)
 
 
 @query
